@@ -6,40 +6,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from txvigil.schema import REF
 
-_SALT = "_salt"
-_SALTS = 1024
 
+def known_keys(rows: DataFrame, *keys: str) -> DataFrame:
+    """Distinct non-null keys; combined before the shuffle, so repeats cost nothing there.
 
-def spread_nulls(rows: DataFrame, *keys: str) -> DataFrame:
-    """Adds a second join key that is 0 but for rows with a null key.
-
-    Those match nothing, yet would all be hashed into one task.
+    As the right side of a semi, anti or left join it holds one row per key, so a key that
+    fills the left side is spread by splitting its partition (adaptive skew join).
     """
-    missing = F.lit(False)
     for key in keys:
-        missing = missing | F.col(key).isNull()
-    others = [c for c in rows.columns if c not in keys]
-    scattered = F.pmod(F.hash(*others), F.lit(_SALTS)) if others else F.lit(0)
-    return rows.withColumn(_SALT, F.when(missing, scattered).otherwise(F.lit(0)))
-
-
-def join_known(rows: DataFrame, known: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Left, semi or anti join to unique, non-null keys; rows may repeat keys or lack them."""
-    return (
-        spread_nulls(rows, *keys)
-        .join(known.withColumn(_SALT, F.lit(0)), [*keys, _SALT], how)
-        .drop(_SALT)
-    )
-
-
-def known_keys(rows: DataFrame, *keys: str) -> DataFrame:
-    """Distinct non-null keys; combined before the shuffle, so repeats cost nothing there."""
-    return rows.select(*keys).dropna().distinct()
+        rows = rows.filter(F.col(key).isNotNull())
+    return rows.select(*keys).distinct()
 
 
 def rows_not_in(rows: DataFrame, other: DataFrame, key: str = REF) -> DataFrame:
     """Rows whose key the other table lacks. A null key is never found, so its row stays."""
-    return join_known(rows, known_keys(other, key), [key], "left_anti")
+    return rows.join(known_keys(other, key), key, "left_anti").select(rows.columns)
 
 
 def delta_new(daily: DataFrame, history: DataFrame, key: str = REF) -> DataFrame:

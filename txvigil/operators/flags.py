@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from txvigil.operators.deltas import join_known, known_keys
+from txvigil.operators.deltas import known_keys
+from txvigil.operators.keys import semi_by_keys
 from txvigil.schema import ACCOUNT, FLAG, FLAG_TYPE, REF
 
 
@@ -42,18 +43,16 @@ def merge_flags(
     ``hits`` holds the keys, unique, and one column per flag. All flags of a family are
     merged in this one join.
     """
-    named = hits.dropna(subset=list(keys)).select(
-        *keys, *[F.col(f).alias(f"_hit_{f}") for f in flags]
-    )
-    merged = {f: F.when(F.col(f"_hit_{f}") == 1, 1).otherwise(F.col(f)).cast(FLAG_TYPE) for f in flags}
-    return join_known(history, named, list(keys), "left").withColumns(merged).select(history.columns)
+    named = hits.select(*keys, *[F.col(f).alias(f"_hit_{f}") for f in flags])
+    merged = {
+        f: F.when(F.col(f"_hit_{f}") == 1, 1).otherwise(F.col(f)).cast(FLAG_TYPE) for f in flags
+    }
+    return history.join(named, list(keys), "left").withColumns(merged).select(history.columns)
 
 
 def unflagged(history: DataFrame, refs: DataFrame, flag: str, key: str = REF) -> DataFrame:
     """History rows that the reference numbers would newly flag."""
-    return join_known(
-        history.filter(F.col(flag) == 0), known_keys(refs, key), [key], "left_semi"
-    )
+    return semi_by_keys(history.filter(F.col(flag) == 0), refs, [key])
 
 
 def unflagged_count(history: DataFrame, refs: DataFrame, flag: str, key: str = REF) -> DataFrame:
@@ -62,7 +61,6 @@ def unflagged_count(history: DataFrame, refs: DataFrame, flag: str, key: str = R
 
 def all_flagged(history: DataFrame, refs: DataFrame, flag: str, key: str = REF) -> DataFrame:
     """Whether every history row of the reference numbers has the flag; true if there is none."""
-    matched = join_known(history, known_keys(refs, key), [key], "left_semi")
-    return matched.agg(
+    return semi_by_keys(history, refs, [key]).agg(
         F.coalesce(F.bool_and(F.col(flag) == 1), F.lit(True)).alias("all_flagged")
     )

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txvigil.operators.deltas import join_known
+from txvigil.operators.deltas import known_keys
 from txvigil.schema import ACCOUNT, REF
 
 
@@ -33,14 +33,17 @@ def semi_by_keys(
     rows: DataFrame, keyed: DataFrame, keys: Sequence[str] = (ACCOUNT, REF)
 ) -> DataFrame:
     """Rows whose keys occur in the other table."""
-    known = distinct_keys(keyed, keys).dropna()
-    return join_known(rows, known, list(keys), "left_semi")
+    return rows.join(known_keys(keyed, *keys), list(keys), "left_semi").select(rows.columns)
 
 
 def find_duplicates(rows: DataFrame, keys: Sequence[str] = (REF,)) -> DataFrame:
     """Rows whose keys occur more than once, null keys among them."""
-    repeated = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    same = [rows[k].eqNullSafe(repeated[k]) for k in keys]
+    repeated = (
+        rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > 1)
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     return rows.join(repeated, same, "left_semi")
 
 
