@@ -9,8 +9,8 @@ Cost does not depend on how uneven the accounts are either. A window puts a whol
 in one task, so the few accounts above ``hot_rows`` rows take another way: their rows are
 first summed per (account, time), then cut into one-minute slices that are spread over the
 cluster, and every slice starts from what earlier slices left over. A slice holds distinct
-microseconds only, so its size is bounded whatever the data. The list of hot accounts only
-decides which way a row goes; the result is the same either way.
+microseconds only, so its size is bounded whatever the data. Which way a row goes changes
+nothing in the result.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from txvigil.functions import epoch_minute
+from txvigil.functions import checked_cast, epoch_minute
 from txvigil.schema import ACCOUNT, AMOUNT, AT, MONEY, REF
 
 # Accounts above this many rows are sliced.
@@ -31,7 +31,7 @@ HOT_ROWS = 1_000_000
 HOT_ACCOUNTS = 100_000
 
 _TICK = timedelta(microseconds=1)
-_LEG, _SHIFT, _SLICE = "_leg", "_shift", "_slice"
+_LEG, _SHIFT, _SLICE, _ROWS = "_leg", "_shift", "_slice", "_rows"
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ class Burst:
 
 def money(amount: str = AMOUNT) -> Column:
     """Amount as an exact decimal, nothing where missing."""
-    return F.coalesce(F.col(amount).cast(MONEY), F.lit(0).cast(MONEY))
+    return F.coalesce(checked_cast(F.col(amount), MONEY, amount), F.lit(0).cast(MONEY))
 
 
 def placed(rows: DataFrame, account: str = ACCOUNT, at: str = AT) -> DataFrame:
@@ -77,15 +77,9 @@ def placed(rows: DataFrame, account: str = ACCOUNT, at: str = AT) -> DataFrame:
 
 
 def hot_accounts(rows: DataFrame, account: str = ACCOUNT, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest accounts above ``hot_rows`` rows, at most ``HOT_ACCOUNTS`` of them."""
-    return (
-        rows.groupBy(account)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), account)
-        .limit(HOT_ACCOUNTS)
-        .select(account)
-    )
+    """Accounts above ``hot_rows`` rows and how many they have."""
+    counts = rows.groupBy(account).agg(F.count("*").alias(_ROWS))
+    return counts.filter(F.col(_ROWS) > hot_rows)
 
 
 def trailing(
@@ -96,15 +90,23 @@ def trailing(
     at: str = AT,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rows with an account and a time, plus one column per total and per burst."""
+    """Rows with an account and a time, plus one column per total and per burst.
+
+    Counts the rows per account first, which is one pass over the account column, so that
+    the second way is planned only where some account needs it.
+    """
     keep = [F.col(c) for c in rows.columns]
     keep += [F.col(t.name) for t in totals]
     keep += [_covering(b, at).alias(b.name) for b in bursts]
 
-    rows = placed(rows, account, at).withColumns({_own(t.name): t.value for t in totals})
-    hot = F.broadcast(hot_accounts(rows, account, hot_rows))
-    whole = _whole(rows.join(hot, account, "left_anti"), totals, bursts, account, at)
-    sliced = _sliced(rows.join(hot, account, "left_semi"), totals, bursts, account, at)
+    rows = placed(rows, account, at)
+    hot = hot_accounts(rows, account, hot_rows)
+    rows = rows.withColumns({_own(t.name): t.value for t in totals})
+    if hot.isEmpty():
+        return _whole(rows, totals, bursts, account, at).select(keep)
+    largest = F.broadcast(hot.orderBy(F.desc(_ROWS), account).limit(HOT_ACCOUNTS).select(account))
+    whole = _whole(rows.join(largest, account, "left_anti"), totals, bursts, account, at)
+    sliced = _sliced(rows.join(largest, account, "left_semi"), totals, bursts, account, at)
     return whole.select(keep).unionByName(sliced.select(keep))
 
 

@@ -27,7 +27,6 @@ from txvigil.sources.tables import (
     replace_history,
     replace_table,
     table_exists,
-    write_history,
 )
 
 log = logging.getLogger(__name__)
@@ -83,7 +82,7 @@ def ingest(
     )
     count = F.count("*").alias("rows")
     if not table_exists(spark, history_path):
-        write_history(new_rows(daily, None).observe(added, count), history_path)
+        replace_history(new_rows(daily, None).observe(added, count), history_path)
     else:
         stored = read_table(spark, history_path)
         history = read_history(spark, history_path, family.flags)

@@ -41,8 +41,13 @@ class Drops:
         return found
 
 
-def read_texts(spark: SparkSession, paths: Sequence[str], separator: str = "|") -> DataFrame:
-    """All fields as text. Every file must have the header of the first one."""
+def read_texts(
+    spark: SparkSession, paths: Sequence[str], separator: str = "|", by_position: bool = False
+) -> DataFrame:
+    """All fields as text.
+
+    Every file must have the header of the first one, unless columns go by position.
+    """
     reader = (
         spark.read.option("sep", separator)
         .option("header", True)
@@ -51,7 +56,7 @@ def read_texts(spark: SparkSession, paths: Sequence[str], separator: str = "|")
     )
     header = reader.csv(paths[0]).columns
     texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return reader.schema(texts).option("enforceSchema", False).csv(list(paths))
+    return reader.schema(texts).option("enforceSchema", by_position).csv(list(paths))
 
 
 def read_all(spark: SparkSession, pattern: str, separator: str = "|") -> DataFrame:
@@ -105,7 +110,7 @@ def read_daily_drops(
     paths = drops.present(spark, as_of, n_days)
     if not paths:
         return None
-    texts = read_texts(spark, paths)
+    texts = read_texts(spark, paths, by_position=by_position)
     if by_position:
         texts = rename_by_position(texts, schema.names)
     return typed(normalise_nulls(texts), schema)

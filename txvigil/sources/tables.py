@@ -87,12 +87,18 @@ def append_history(rows: DataFrame, path: str) -> None:
 
 
 def replace_history(rows: DataFrame, path: str) -> None:
-    """Replaces the whole history, also by rows that are computed from it."""
+    """Replaces the whole history, also by rows that are computed from it.
+
+    Without any row there would be no file to tell the schema, so nothing is replaced then.
+    """
     spark = rows.sparkSession
     recover(spark, path)
     staged = _staged(path)
     write_history(rows, staged)
-    _swap(spark, staged, path)
+    if children(spark, staged):
+        _swap(spark, staged, path)
+    else:
+        remove(spark, staged)
 
 
 def replace_days(rows: DataFrame, path: str) -> None:
