@@ -112,3 +112,45 @@ def test_order(tx):
     assert [r.no_referensi for r in ordering.sort_history(rows).collect()] == ["r2", "r1", "r0", "r3"]
     assert [r.no_referensi for r in ordering.latest(rows, 2).collect()] == ["r3", "r0"]
     assert [r.no_referensi for r in ordering.page(rows, 1, 2).collect()] == ["r0", "r1"]
+
+
+@pytest.mark.parametrize("spread", ["hot", "null"])
+@pytest.mark.parametrize("operator", ["anti", "duplicates", "merge", "mark"])
+def test_large_partition_of_a_key_is_split(spark, operator, spread):
+    """A third of all rows has the same reference number, or none."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        ids = spark.range(0, 60_000, 1, 4).withColumn("note", F.sha2(F.col("id").cast("string"), 256))
+        ref = F.lit("same" if spread == "hot" else None)
+        rows = ids.select(
+            F.when(F.col("id") % 3 == 0, ref).otherwise(F.col("id").cast("string")).alias("no_referensi"),
+            "note",
+            F.lit(0).cast("tinyint").alias("flag"),
+        )
+        other = ids.filter("id % 3 = 1").select(F.col("id").cast("string").alias("no_referensi"))
+        result = {
+            "anti": lambda: deltas.rows_not_in(rows, other),
+            "duplicates": lambda: keys.find_duplicates(rows),
+            "merge": lambda: flags.merge_flags(
+                rows, deltas.per_key(other, ["no_referensi"], F.max(F.lit(1)).alias("flag")), ["flag"]
+            ),
+            "mark": lambda: flags.mark_by_keys(rows, other, "flag", ["no_referensi"]),
+        }[operator]()
+        found = result.agg(F.count("*").alias("n"), F.max("note"))
+        expected = {"anti": 40_000, "duplicates": 20_000}.get(operator, 60_000)
+        assert found.head().n == expected
+        found = result.agg(F.count("*").alias("n"), F.max("note"))
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -100,3 +100,10 @@ def test_plan_has_one_wide_shuffle_and_no_join(tx):
     plan = rolled._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan
+
+
+def test_schema_does_not_depend_on_the_way(tx):
+    history = tx(("2025-01-01", 1))
+    totals = [Total("n", SPAN, F.lit(1), False), Total("amount", SPAN, money(), True)]
+    whole, sliced = (trailing(history, totals, hot_rows=n) for n in (1, 0))
+    assert whole.dtypes == sliced.dtypes

@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from txvigil.schema import REF
 
+_HASH = "_hash"
 
-def known_keys(rows: DataFrame, *keys: str) -> DataFrame:
-    """Distinct non-null keys; combined before the shuffle, so repeats cost nothing there.
 
-    As the right side of a semi, anti or left join it holds one row per key, so a key that
-    fills the left side is spread by splitting its partition (adaptive skew join).
+def per_key(rows: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """Aggregates per key, combined before the shuffle, for joins to rows with uneven keys.
+
+    Adaptive execution splits the large partition of a hot or null key on the left of a
+    join only if both sides come straight from a shuffle. A result clustered by just the
+    join keys would be joined as it is; the hash beside them makes Spark shuffle these few
+    columns once more, and the split possible.
     """
+    grouped = rows.groupBy(*keys, F.xxhash64(*keys).alias(_HASH))
+    return grouped.agg(*aggregates).drop(_HASH)
+
+
+def known_keys(rows: DataFrame, *keys: str) -> DataFrame:
+    """Distinct non-null keys, like ``per_key``."""
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
-    return rows.select(*keys).distinct()
+    return rows.select(*keys, F.xxhash64(*keys).alias(_HASH)).distinct().drop(_HASH)
 
 
 def rows_not_in(rows: DataFrame, other: DataFrame, key: str = REF) -> DataFrame:
@@ -23,6 +35,12 @@ def rows_not_in(rows: DataFrame, other: DataFrame, key: str = REF) -> DataFrame:
     return rows.join(known_keys(other, key), key, "left_anti").select(rows.columns)
 
 
+def new_keys(unique: DataFrame, other: DataFrame, key: str = REF) -> DataFrame:
+    """The same for rows that are clustered by a unique key: no further shuffle of them."""
+    known = other.select(key).filter(F.col(key).isNotNull()).distinct()
+    return unique.join(known, key, "left_anti").select(unique.columns)
+
+
 def delta_new(daily: DataFrame, history: DataFrame, key: str = REF) -> DataFrame:
     """Daily rows the history does not have yet."""
     return rows_not_in(daily, history, key)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txvigil.operators.deltas import known_keys
+from txvigil.operators.deltas import known_keys, per_key
 from txvigil.schema import ACCOUNT, REF
 
 
@@ -38,11 +38,10 @@ def semi_by_keys(
 
 def find_duplicates(rows: DataFrame, keys: Sequence[str] = (REF,)) -> DataFrame:
     """Rows whose keys occur more than once, null keys among them."""
-    repeated = (
-        rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > 1)
+    counts = per_key(rows, keys, F.count("*").alias("_n")).withColumnsRenamed(
+        {k: f"_{k}" for k in keys}
     )
+    repeated = counts.filter(F.col("_n") > 1)
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     return rows.join(repeated, same, "left_semi")
 

@@ -22,6 +22,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from txvigil.functions import checked_cast, epoch_minute
+from txvigil.operators.deltas import per_key
 from txvigil.schema import ACCOUNT, AMOUNT, AT, MONEY, REF
 
 # Accounts above this many rows are sliced.
@@ -107,7 +108,8 @@ def trailing(
     largest = F.broadcast(hot.orderBy(F.desc(_ROWS), account).limit(HOT_ACCOUNTS).select(account))
     whole = _whole(rows.join(largest, account, "left_anti"), totals, bursts, account, at)
     sliced = _sliced(rows.join(largest, account, "left_semi"), totals, bursts, account, at)
-    return whole.select(keep).unionByName(sliced.select(keep))
+    whole, sliced = whole.select(keep), sliced.select(keep)
+    return whole.unionByName(sliced.to(whole.schema))
 
 
 def _own(total: str) -> str:
@@ -257,8 +259,5 @@ def burst_rows(rows: DataFrame, span: timedelta, at_least: int, **options) -> Da
 def sum_by_ref(rows: DataFrame, span: timedelta, **options) -> DataFrame:
     """Trailing amounts per reference number; those of a repeated number add up."""
     summed = rolling_sum(rows.select(AT, ACCOUNT, REF, AMOUNT), span, **options)
-    return (
-        summed.filter(F.col(REF).isNotNull())
-        .groupBy(REF)
-        .agg(F.sum("rolling_sum").alias("rolling_sum"))
-    )
+    keyed = summed.filter(F.col(REF).isNotNull())
+    return per_key(keyed, [REF], F.sum("rolling_sum").alias("rolling_sum"))

@@ -15,8 +15,8 @@ from txvigil.plans.rules import BurstRule, Rule, SumRule
 class Family:
     """One product line: which transactions it takes in, and the rules over its history.
 
-    ``n_days`` is the number of daily drops an ingest looks at. With ``by_position`` the
-    header of a drop is ignored.
+    ``n_days`` is the number of daily drops an ingest looks at, ``merge_days`` the lookback of
+    a flag merge, None for none. With ``by_position`` the header of a drop is ignored.
     """
 
     name: str
@@ -24,6 +24,7 @@ class Family:
     n_days: int
     rules: tuple[Rule, ...]
     by_position: bool = False
+    merge_days: int | None = None
     statuses: tuple[int, ...] = (0,)
     states: tuple[int, ...] = (1,)
 
@@ -42,6 +43,7 @@ CCW = Family(
     name="ccw",
     categories=("CCW",),
     n_days=2,
+    merge_days=2,
     rules=(BurstRule("ccw", "flag", _minutes(10), 3, lookback=2),),
 )
 

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txvigil.operators.deltas import append_delta, delta_new
+from txvigil.operators.deltas import append_delta, new_keys, per_key
 from txvigil.operators.filters import filter_eligible, since
 from txvigil.operators.flags import add_missing_flags, merge_flags
 from txvigil.operators.keys import dedupe
@@ -34,19 +34,16 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Ingested:
-    """Rows of the drops that are eligible, those without reference number, and those added."""
+    """Rows added to the history, and rows without reference number if those were written."""
 
-    eligible: int = 0
-    without_ref: int = 0
     added: int = 0
+    rejected: int | None = None
 
 
 def new_rows(daily: DataFrame, history: DataFrame | None) -> DataFrame:
     """One row per reference number that the history does not have."""
-    keyed = daily.filter(F.col(REF).isNotNull())
-    if history is not None:
-        keyed = delta_new(keyed, history)
-    return dedupe(keyed, REF, [AT])
+    first = dedupe(daily.filter(F.col(REF).isNotNull()), REF, [AT])
+    return first if history is None else new_keys(first, history)
 
 
 def ingest(
@@ -73,16 +70,12 @@ def ingest(
         return Ingested()
     daily = filter_eligible(daily, family.categories, family.statuses, family.states)
     daily = add_missing_flags(daily, family.flags)
+    rejected = None
     if rejects_path is not None:
-        replace_table(daily.filter(F.col(REF).isNull()), rejects_path)
+        rejected = replace_table(daily.filter(F.col(REF).isNull()), rejects_path)
 
-    seen, added = Observation(), Observation()
-    daily = daily.observe(
-        seen, F.count("*").alias("rows"), F.count_if(F.col(REF).isNull()).alias("without_ref")
-    )
-    count = F.count("*").alias("rows")
     if not table_exists(spark, history_path):
-        replace_history(new_rows(daily, None).observe(added, count), history_path)
+        added = replace_history(new_rows(daily, None), history_path)
     else:
         stored = read_table(spark, history_path)
         history = read_history(spark, history_path, family.flags)
@@ -91,11 +84,12 @@ def ingest(
         if extra:
             raise ValueError(f"columns of drops and history differ: {sorted(extra)}")
         if stored.schema == history.schema:
-            append_history(fresh.observe(added, count), history_path)
+            added = append_history(fresh, history_path)
         else:
-            whole = append_delta(history.drop(EVENT_DATE), fresh.observe(added, count))
-            replace_history(whole, history_path)
-    result = Ingested(seen.get["rows"], seen.get["without_ref"], added.get["rows"])
+            known = stored.count()
+            whole = append_delta(history.drop(EVENT_DATE), fresh)
+            added = replace_history(whole, history_path) - known
+    result = Ingested(added, rejected)
     log.info("%s: %s", family.name, result)
     return result
 
@@ -111,10 +105,9 @@ def run_rule(
 ) -> int:
     """Writes the rule's flagged transactions, none at all included, and returns their number."""
     history = read_history(spark, history_path, family.flags)
-    flagged, found = evaluate(rule, history, as_of, family.flags, hot_rows), Observation()
-    replace_table(flagged.observe(found, F.count("*").alias("rows")), output_path)
-    log.info("%s: %d flagged", rule.name, found.get["rows"])
-    return found.get["rows"]
+    found = replace_table(evaluate(rule, history, as_of, family.flags, hot_rows), output_path)
+    log.info("%s: %d flagged", rule.name, found)
+    return found
 
 
 def output_refs(
@@ -140,11 +133,8 @@ def output_refs(
         parts.append(rows.filter(F.col(REF).isNotNull()).select(REF, *hits.values()))
     if not parts:
         return None
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy(REF)
-        .agg(*[F.max(f).alias(f) for f in outputs])
-    )
+    hits = reduce(DataFrame.unionByName, parts)
+    return per_key(hits, [REF], *[F.max(f).alias(f) for f in outputs])
 
 
 def update_flags(spark: SparkSession, family: Family, history_path: str, hits: DataFrame) -> int:
@@ -185,6 +175,7 @@ def run_family(
     as_of: date,
     n_days: int | None = None,
     outputs: bool = True,
+    rejects_path: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> dict[str, int]:
     """Ingest, then all rules, then one merge of all their flags.
@@ -192,7 +183,8 @@ def run_family(
     With ``outputs`` every rule leaves its flagged transactions in ``output_folder``; without,
     only reference numbers are computed, for all rules in one pass.
     """
-    report = {"added": ingest(spark, family, drops, history_path, as_of, n_days).added}
+    ingested = ingest(spark, family, drops, history_path, as_of, n_days, rejects_path)
+    report = {"added": ingested.added}
     if not table_exists(spark, history_path):
         return report
     if outputs:
@@ -201,7 +193,7 @@ def run_family(
             report[rule.flag] = run_rule(
                 spark, rule, family, history_path, paths[rule.flag], as_of, hot_rows
             )
-        hits = output_refs(spark, paths)
+        hits = output_refs(spark, paths, as_of, family.merge_days)
     else:
         history = read_history(spark, history_path, family.flags)
         path = f"{output_folder}/{family.name}_refs"

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from txvigil.operators.deltas import per_key
 from txvigil.operators.filters import between_hours, filter_cutoff, filter_hours, since
 from txvigil.operators.flags import set_flag
 from txvigil.operators.keys import dedupe, semi_by_keys
@@ -114,5 +115,5 @@ def flagged_refs(
     if any(isinstance(rule, SumRule) for rule in rules):
         columns.append(AMOUNT)
     rolled = trailing(history.select(columns), totals, bursts, hot_rows=hot_rows)
-    per_ref = rolled.filter(F.col(REF).isNotNull()).groupBy(REF).agg(*hits)
+    per_ref = per_key(rolled.filter(F.col(REF).isNotNull()), [REF], *hits)
     return per_ref.filter(F.greatest(*[F.col(r.flag) for r in rules], F.lit(0)) == 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from txvigil.operators.flags import add_missing_flags, normalise_flags
 from txvigil.schema import ACCOUNT, AT, EVENT_DATE
@@ -47,46 +47,57 @@ def recover(spark: SparkSession, path: str) -> None:
         remove(spark, days)
 
 
-def write_table(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Zstandard Parquet; Spark names each file uniquely, so appends never collide."""
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Counts rows while they are written.
+
+    To be put on top of a plan: what lies below an empty shuffle is dropped at run time,
+    and the count with it.
+    """
+    written = Observation()
+    return rows.observe(written, F.count("*").alias("rows")), written
+
+
+def write_table(rows: DataFrame, path: str, mode: str = "errorifexists") -> int:
+    """Zstandard Parquet; Spark names each file uniquely, so appends never collide.
+
+    This and the other writers return the number of rows.
+    """
+    rows, written = _counted(rows)
     rows.write.mode(mode).option("compression", "zstd").parquet(path)
+    return written.get["rows"]
 
 
-def append_table(rows: DataFrame, path: str) -> None:
-    write_table(rows, path, "append")
+def append_table(rows: DataFrame, path: str) -> int:
+    return write_table(rows, path, "append")
 
 
-def replace_table(rows: DataFrame, path: str) -> None:
+def replace_table(rows: DataFrame, path: str) -> int:
     """Replaces the whole table, also by rows that are computed from it."""
     spark = rows.sparkSession
     recover(spark, path)
     staged = _staged(path)
-    write_table(rows, staged)
+    written = write_table(rows, staged)
     _swap(spark, staged, path)
+    return written
 
 
-def write_history(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_history(rows: DataFrame, path: str, mode: str = "errorifexists") -> int:
     """Writes rows by day: pruned by lookback, and rewritten one day at a time.
 
     Days are balanced before writing, so a large day becomes several files and a small one
     does not become many.
     """
-    dated = rows.withColumn(EVENT_DATE, F.to_date(AT))
-    (
-        dated.hint("rebalance", EVENT_DATE)
-        .sortWithinPartitions(EVENT_DATE, AT, ACCOUNT)
-        .write.mode(mode)
-        .option("compression", "zstd")
-        .partitionBy(EVENT_DATE)
-        .parquet(path)
-    )
+    dated = rows.withColumn(EVENT_DATE, F.to_date(AT)).hint("rebalance", EVENT_DATE)
+    rows, written = _counted(dated.sortWithinPartitions(EVENT_DATE, AT, ACCOUNT))
+    rows.write.mode(mode).option("compression", "zstd").partitionBy(EVENT_DATE).parquet(path)
+    return written.get["rows"]
 
 
-def append_history(rows: DataFrame, path: str) -> None:
-    write_history(rows, path, "append")
+def append_history(rows: DataFrame, path: str) -> int:
+    return write_history(rows, path, "append")
 
 
-def replace_history(rows: DataFrame, path: str) -> None:
+def replace_history(rows: DataFrame, path: str) -> int:
     """Replaces the whole history, also by rows that are computed from it.
 
     Without any row there would be no file to tell the schema, so nothing is replaced then.
@@ -94,25 +105,27 @@ def replace_history(rows: DataFrame, path: str) -> None:
     spark = rows.sparkSession
     recover(spark, path)
     staged = _staged(path)
-    write_history(rows, staged)
-    if children(spark, staged):
+    written = write_history(rows, staged)
+    if written:
         _swap(spark, staged, path)
     else:
         remove(spark, staged)
+    return written
 
 
-def replace_days(rows: DataFrame, path: str) -> None:
+def replace_days(rows: DataFrame, path: str) -> int:
     """Replaces those days of the history that occur in the rows."""
     spark = rows.sparkSession
     recover(spark, path)
     staged, days = _staged(path), _old_days(path)
-    write_history(rows, staged)
+    written = write_history(rows, staged)
     for day in children(spark, staged):
         if exists(spark, f"{path}/{day}"):
             move(spark, f"{path}/{day}", f"{days}/{day}")
         move(spark, f"{staged}/{day}", f"{path}/{day}")
     for rest in (staged, days):
         remove(spark, rest)
+    return written
 
 
 def _swap(spark: SparkSession, staged: str, path: str) -> None:
