@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from txvigil.plans.families import CCW, FAMILIES, TF_ONLINE
 from txvigil.plans.jobs import Ingested, ingest, output_refs, run_family, run_rule, update_flags
+from txvigil.plans.rules import evaluate, flagged_refs
 from txvigil.schema import TRANSACTION
 from txvigil.sources import tables
 from txvigil.sources.drops import Drops
@@ -195,3 +196,13 @@ def test_every_family_flags_its_categories(spark, site, name):
             sums = (int(i >= 2),) if len(family.flags) == 2 else ()
             expected.append((f"{c}{i}", 1, *sums))
     assert site.rows(*family.flags) == sorted(expected)
+
+
+def test_lookback_prunes_days_and_columns(spark, tx, site):
+    tables.replace_history(tx(("2025-01-01", 1), ("2025-01-10", 1)), site.history)
+    history = tables.read_history(spark, site.history, CCW.flags)
+    for found in (evaluate(CCW.rules[0], history, DAY, CCW.flags), flagged_refs(CCW.rules, history, DAY)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "PushedFilters: [IsNotNull(transaction_date)" in plan
+    assert "to_bank_name" not in plan

@@ -125,7 +125,7 @@ def test_large_partition_of_a_key_is_split(spark, operator, spread):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
         "spark.sql.shuffle.partitions": "16",
     }
-    before = {name: spark.conf.get(name) for name in changed}
+    before = {name: spark.conf.get(name, None) for name in changed}
     for name, value in changed.items():
         spark.conf.set(name, value)
     try:
@@ -153,4 +153,4 @@ def test_large_partition_of_a_key_is_split(spark, operator, spread):
         assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from txvigil.operators.deltas import per_key
 from txvigil.operators.filters import between_hours, filter_cutoff, filter_hours, since
 from txvigil.operators.flags import set_flag
-from txvigil.operators.keys import dedupe, semi_by_keys
+from txvigil.operators.keys import dedupe
 from txvigil.operators.rolling import (
     HOT_ROWS,
     Burst,
@@ -84,8 +84,8 @@ def evaluate(
         inside = burst_rows(rows, rule.span, rule.at_least, hot_rows=hot_rows)
         return set_flag(dedupe(inside, REF, [AT, "transaction_date_right"]))
     sums = sum_by_ref(rows, rule.span, hot_rows=hot_rows)
-    above = sums.filter(F.col("rolling_sum") >= rule.at_least)
-    return set_flag(semi_by_keys(placed(rows), above, [REF]))
+    above = sums.filter(F.col("rolling_sum") >= rule.at_least).select(REF)
+    return set_flag(placed(rows).join(above, REF, "left_semi").select(rows.columns))
 
 
 def flagged_refs(
