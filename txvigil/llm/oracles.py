@@ -84,3 +84,63 @@ SELECT doc_id, size, source_size, target,
   ))::BIGINT AS taken
 FROM lined
 """
+
+
+def _trust(rounds: int = 10) -> str:
+    """The propagation of op6, one table per round."""
+    start = r"""
+WITH cut AS (
+  SELECT page_id, html, coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), '') AS h,
+    coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages
+), judged AS (
+  SELECT page_id, html, path,
+    translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM cut
+), ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM judged
+), rulings AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END
+    AS ruling FROM ruled
+), targets AS (
+  SELECT DISTINCT page_id, host AS src, translate(substring(unnest(regexp_extract_all(html,
+    '(?i)\bhref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?(//[^/?#"''\s>]+)', 1)), 3),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM judged WHERE host <> ''
+), below AS (
+  SELECT DISTINCT host AS src, regexp_extract(host, '^[^.]+\.(.*\..*)$', 1) AS dst FROM judged
+), edges AS (
+  SELECT src, dst, sum(w) AS w FROM (
+    SELECT src, dst, count(*) AS w FROM targets WHERE src <> dst GROUP BY src, dst
+    UNION ALL SELECT src, dst, 1 FROM below WHERE dst <> ''
+    UNION ALL SELECT dst, src, 1 FROM below WHERE dst <> ''
+  ) GROUP BY src, dst
+), ways AS (
+  SELECT 'allow' AS kind, src, dst, w FROM edges UNION ALL SELECT 'block', dst, src, w FROM edges
+), shares AS (
+  SELECT kind, src, dst, w / sum(w) OVER (PARTITION BY kind, src) AS share FROM ways
+), seeds AS (
+  SELECT ruling AS kind, host, count(*) / sum(count(*)) OVER (PARTITION BY ruling) AS seed
+  FROM rulings WHERE ruling IS NOT NULL AND host <> '' GROUP BY ruling, host
+), r0 AS (SELECT kind, host, seed AS score FROM seeds)"""
+    for n in range(rounds):
+        start += f""", r{n + 1} AS (
+  SELECT kind, host, sum(score) AS score FROM (
+    SELECT r.kind, dst AS host, 0.85::DOUBLE * score * share AS score
+    FROM r{n} r JOIN shares s ON r.kind = s.kind AND r.host = s.src
+    UNION ALL SELECT kind, host, 0.15::DOUBLE * seed FROM seeds
+  ) GROUP BY kind, host)"""
+    return start + f""", verdicts AS (
+  SELECT host, round(coalesce(sum(score) FILTER (kind = 'block'), 0), 9)
+    > round(coalesce(sum(score) FILTER (kind = 'allow'), 0), 9) AS blocked
+  FROM r{rounds} GROUP BY host
+)
+SELECT page_id, p.host, path, rule,
+  coalesce(ruling, CASE WHEN coalesce(blocked, false) THEN 'block' ELSE 'allow' END) AS verdict
+FROM rulings p LEFT JOIN verdicts v ON v.host = p.host"""
+
+
+ORACLES["op6_host_trust"] = _trust()

@@ -7,7 +7,7 @@ from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txvigil.llm import mixing, packing, quality, winnowing
+from txvigil.llm import chats, mixing, packing, quality, urls, winnowing
 from txvigil.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,30 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# A conversation whose texts hold the template's own marks.
+_MARKED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op3_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of control strings, digested from the tree."""
+    columns = "conv_id", "turn", "role", "text"
+    marked = spark.createDataFrame(
+        [(-7, n, role, _MARKED) for n, role in enumerate(("user", "assistant"))],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = table(spark, sf_dir, "conversations").select(*columns).unionByName(marked)
+    nodes, steps, ends = chats.prefix_tree(rows)
+    return chats.read_back(stored(nodes), steps, ends)
+
+
+@query
+def op6_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages: by rule, or by what the host graph says of the host."""
+    pages = urls.judged(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdicts; a document's host is its source."""
