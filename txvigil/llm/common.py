@@ -115,3 +115,12 @@ def components(links: DataFrame, keep: DataFrame | None = None) -> DataFrame:
         if changed:
             discard(edges)
             return labels
+
+
+# A side of a join with at most so many rows of a few numbers is sent to every executor.
+BESIDE = 1_000_000
+
+
+def beside(rows: DataFrame, most: int = BESIDE) -> DataFrame:
+    """Rows of a stored table, to be broadcast if they are few; shuffled like any if not."""
+    return F.broadcast(rows) if rows.count() <= most else rows

@@ -144,3 +144,42 @@ FROM rulings p LEFT JOIN verdicts v ON v.host = p.host"""
 
 
 ORACLES["op6_host_trust"] = _trust()
+
+ORACLES["op5_line_dedup"] = r"""
+WITH lined AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS content,
+    unnest(range(len(string_split(text, chr(10))))) AS line FROM documents
+), sets AS (
+  SELECT doc_id, line, content, list_distinct(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) AS words
+  FROM lined WHERE regexp_matches(content, '[^\x20\x09-\x0D]')
+), once AS (
+  SELECT min((doc_id, line)) AS place, content, any_value(words) AS words FROM sets GROUP BY content
+), worded AS (
+  SELECT place, len(words) AS n, unnest(words) AS word FROM once
+), counted AS (
+  SELECT *, count(*) OVER (PARTITION BY word) AS times FROM worded
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY times, word) AS pos FROM counted
+), fronts AS (
+  SELECT * FROM ranked WHERE pos <= n // 5 + 1
+), candidates AS (
+  SELECT DISTINCT a.place AS a, b.place AS b FROM fronts a JOIN fronts b
+    ON a.word = b.word AND a.place < b.place AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+), gone AS (
+  SELECT DISTINCT b AS place FROM candidates
+  JOIN once x ON x.place = a JOIN once y ON y.place = b
+  WHERE 100 * len(list_intersect(x.words, y.words))
+    >= 80 * (len(x.words) + len(y.words) - len(list_intersect(x.words, y.words)))
+), verdicts AS (
+  SELECT l.doc_id, l.line, l.content,
+    o.place IS NOT NULL AND ((l.doc_id, l.line) <> o.place OR o.place IN (SELECT place FROM gone)) AS removed
+  FROM lined l LEFT JOIN once o ON o.content = l.content
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+    string_agg(content, chr(10) ORDER BY line) FILTER (NOT removed) AS rest
+  FROM verdicts GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

@@ -7,7 +7,7 @@ from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txvigil.llm import chats, mixing, packing, quality, urls, winnowing
+from txvigil.llm import chats, lines, mixing, packing, quality, urls, winnowing, wrappers
 from txvigil.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@query
+def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 # A conversation whose texts hold the template's own marks.
 _MARKED = r"\### Assistant: </turn> ok"
 
@@ -41,6 +47,14 @@ def op3_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.read_back(stored(nodes), steps, ends)
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that are like an earlier one (80 % of the words)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return lines.deduped(docs).select("doc_id", "n_lines", "n_removed", kept)
+
+
 @query
 def op6_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all pages: by rule, or by what the host graph says of the host."""
