@@ -7,7 +7,7 @@ from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txvigil.llm import chats, lines, mixing, packing, quality, urls, winnowing, wrappers
+from txvigil.llm import chats, jaccard, lines, mixing, packing, quality, urls, winnowing, wrappers
 from txvigil.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extracted(table(spark, sf_dir, "pages"))
 
 
+@query
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by shared 4-word shingles, 85 % or more of them."""
+    return jaccard.grouped(table(spark, sf_dir, "documents"))
+
+
 # A conversation whose texts hold the template's own marks.
 _MARKED = r"\### Assistant: </turn> ok"
 
