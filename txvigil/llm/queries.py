@@ -7,7 +7,7 @@ from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txvigil.llm import chats, jaccard, lines, mixing, packing, quality, urls, winnowing, wrappers
+from txvigil.llm import chats, jaccard, lines, mixing, packing, quality, repeats, urls, winnowing, wrappers
 from txvigil.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,13 @@ def op3_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.read_back(stored(nodes), steps, ends)
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all texts without strings of 50 bytes that an earlier document has."""
+    found = repeats.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("kept")
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without lines that are like an earlier one (80 % of the words)."""
