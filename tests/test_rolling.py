@@ -6,10 +6,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from txvigil.operators.rolling import Burst, Total, money, rolling_count, trailing
+from txvigil.operators.rolling import Burst, Total, burst_rows, money, rolling_count, trailing
+from txvigil.plans.rules import BurstRule, SumRule, evaluate, flagged_refs
 
 START = datetime(2025, 3, 30)
 SPAN = timedelta(minutes=10)
+TICK = timedelta(microseconds=1)
 
 
 def random_rows(seed, accounts=150):
@@ -49,16 +51,16 @@ def brute(rows, at_least):
         yield count, total, min(ends, default=None)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 12, 0])
+@pytest.mark.parametrize("stretch", [None, SPAN + TICK, timedelta(minutes=13), timedelta(days=9)])
 @pytest.mark.parametrize("at_least", [1, 2, 4])
-def test_against_brute_force(tx, hot_rows, at_least):
+def test_against_brute_force(tx, stretch, at_least):
     rows = random_rows(seed=at_least)
     history = tx(*[(t.isoformat(), amount, account) for t, amount, account in rows])
     rolled = trailing(
         history,
         [Total("n", SPAN, F.lit(1), False), Total("amount", SPAN, money(), True)],
         [Burst("end", "n", at_least, SPAN)],
-        hot_rows=hot_rows,
+        stretch=stretch,
     ).collect()
     result = {r.no_referensi: (r.n, r.amount, r.end) for r in rolled}
     assert result == {f"r{i}": expected for i, expected in enumerate(brute(rows, at_least))}
@@ -85,8 +87,8 @@ def test_session_time_zone_does_not_matter(spark, tx, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        for hot_rows in (1_000_000, 0):
-            rolled = rolling_count(history, timedelta(minutes=40), hot_rows=hot_rows)
+        for stretch in (None, timedelta(minutes=40)):
+            rolled = rolling_count(history, timedelta(minutes=40), stretch=stretch)
             assert {r.no_referensi: r.rolling_count for r in rolled.collect()} == {
                 "r0": 1, "r1": 2, "r2": 2,
             }
@@ -102,8 +104,39 @@ def test_plan_has_one_wide_shuffle_and_no_join(tx):
     assert "Join" not in plan
 
 
-def test_schema_does_not_depend_on_the_way(tx):
-    history = tx(("2025-01-01", 1))
-    totals = [Total("n", SPAN, F.lit(1), False), Total("amount", SPAN, money(), True)]
-    whole, sliced = (trailing(history, totals, hot_rows=n) for n in (1, 0))
-    assert whole.dtypes == sliced.dtypes
+def test_stretch_covers_the_span(tx):
+    with pytest.raises(ValueError, match="shorter"):
+        trailing(tx(("2025-01-01", 1)), [Total("n", SPAN, F.lit(1), True)], stretch=SPAN)
+
+
+def test_many_dense_accounts(tx):
+    """Every account is as dense as any other; none is on a list, none is left out."""
+    rows = [
+        ((START + timedelta(seconds=second)).isoformat(), 1, f"a{account}")
+        for account in range(300)
+        for second in range(0, 3600, 300)
+    ]
+    counted = rolling_count(tx(*rows), SPAN)
+    assert counted.groupBy("rolling_count").count().orderBy("rolling_count").collect() == [
+        (1, 300), (2, 3300),
+    ]
+
+
+def test_building_runs_nothing(spark, tx):
+    history = tx(*[(START.isoformat(), 1, f"a{i}") for i in range(50)])
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        evaluate(BurstRule("r", "flag", SPAN, 3), history, START.date())
+        evaluate(SumRule("r", "flag", SPAN, 3), history, START.date())
+        flagged_refs([BurstRule("r", "flag", SPAN, 3)], history, START.date())
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_bursts_move_the_payload_past_no_account(tx):
+    """Only account and time are shuffled to find bursts."""
+    found = burst_rows(tx((START.isoformat(), 1)), SPAN, 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    inlined = next(line for line in plan if "Generate" in line)
+    assert "to_bank_name" not in inlined and "no_referensi" not in inlined

@@ -80,14 +80,13 @@ def named(case, rows):
         yield at, amount, account and f"{case}/{account}", ref and f"{case}/{ref}"
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 0], ids=["whole", "sliced"])
 @pytest.mark.parametrize("rule", dict.fromkeys(rule for rule, _, _ in CASES.values()), ids=str)
-def test_flagged(tx, refs, rule, hot_rows):
+def test_flagged(tx, refs, rule):
     cases = {case: c[1:] for case, c in CASES.items() if c[0] == rule}
     history = tx(*[row for case, (rows, _) in cases.items() for row in named(case, rows)])
     expected = sorted(f"{case}/{ref}" for case, (_, refs_) in cases.items() for ref in refs_)
-    assert refs(evaluate(rule, history, DAY, hot_rows=hot_rows)) == expected
-    assert refs(flagged_refs([rule], history, DAY, hot_rows)) == sorted(set(expected))
+    assert refs(evaluate(rule, history, DAY)) == expected
+    assert refs(flagged_refs([rule], history, DAY)) == sorted(set(expected))
 
 
 def test_rules_in_one_pass(tx, refs):

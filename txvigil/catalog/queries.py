@@ -28,6 +28,10 @@ def query(run: Query) -> Query:
     return run
 
 
+# Added to a closed span, the shortest stretch it can be grouped by.
+TICK = timedelta(microseconds=1)
+
+
 def hours(n: float) -> timedelta:
     return timedelta(hours=n)
 
@@ -56,8 +60,6 @@ TUNED = {
     "non_qr_5mio": ("orders", days(30), 400_000, None),
 }
 
-# Low enough for the sliced way of the trailing totals to be taken by many accounts.
-SLICED_FROM = {"events": 70, "orders": 10, "lineitem": 600}
 
 
 def tuned(name: str) -> Rule:
@@ -342,19 +344,19 @@ def burst_interval_join(spark, sf_dir):
 @query
 def sliced_count(spark, sf_dir):
     rows = transactions(spark, sf_dir, "orders")
-    return emit(rolling.rolling_count(rows, days(30), hot_rows=SLICED_FROM["orders"]))
+    return emit(rolling.rolling_count(rows, days(30), stretch=days(30)))
 
 
 @query
 def sliced_sum(spark, sf_dir):
     rows = transactions(spark, sf_dir, "lineitem")
-    return emit(rolling.rolling_sum(rows, days(2), hot_rows=SLICED_FROM["lineitem"]))
+    return emit(rolling.rolling_sum(rows, days(2), stretch=days(2) + TICK))
 
 
 @query
 def sliced_burst(spark, sf_dir):
     rows = transactions(spark, sf_dir)
-    return emit(rolling.burst_rows(rows, hours(6), 3, hot_rows=SLICED_FROM["events"]))
+    return emit(rolling.burst_rows(rows, hours(6), 3, stretch=hours(6)))
 
 
 # Sorted tables

@@ -5,12 +5,12 @@ of the frame for every row; here each row instead enters the total at its own ti
 leaves it when the span has passed, so a plain running sum over both moments gives the
 trailing total: one sort, no frame to rescan, no pairs of rows.
 
-Cost does not depend on how uneven the accounts are either. A window puts a whole account
-in one task, so the few accounts above ``hot_rows`` rows take another way: their rows are
-first summed per (account, time), then cut into one-minute slices that are spread over the
-cluster, and every slice starts from what earlier slices left over. A slice holds distinct
-microseconds only, so its size is bounded whatever the data. Which way a row goes changes
-nothing in the result.
+Cost does not depend on how uneven the accounts are either: rows are grouped by account and
+stretch of time, so a large account is as many groups as it has stretches. A stretch is at
+least as long as the span. What still counts when a stretch begins enters it there, once
+more; what begins soon after a stretch ends is seen by it too, so that it knows the bursts
+that reach back into it. There is one plan for all data, with one shuffle and no joins, and
+nothing runs while it is built.
 """
 
 from __future__ import annotations
@@ -19,20 +19,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txvigil.functions import checked_cast, epoch_minute
+from txvigil.functions import checked_cast, epoch_us
 from txvigil.operators.deltas import per_key
 from txvigil.schema import ACCOUNT, AMOUNT, AT, MONEY, REF
 
-# Accounts above this many rows are sliced.
-HOT_ROWS = 1_000_000
-# The list of sliced accounts is broadcast, so only the largest ones get on it. Leaving one
-# off costs balance, not rows: it is then evaluated as a single group.
-HOT_ACCOUNTS = 100_000
-
 _TICK = timedelta(microseconds=1)
-_LEG, _SHIFT, _SLICE, _ROWS = "_leg", "_shift", "_slice", "_rows"
+# Stretches of this many spans repeat few rows at their edges and still cut a large account.
+_SPANS = 2
+_SHORTEST = timedelta(hours=1)
+_STRETCH, _TIME, _KIND = "_stretch", "_time", "_kind"
+# A row in its own stretch, and in the one before; entering and leaving come per expiry.
+_OWN, _AHEAD = 0, -1
 
 
 @dataclass(frozen=True)
@@ -77,39 +76,37 @@ def placed(rows: DataFrame, account: str = ACCOUNT, at: str = AT) -> DataFrame:
     return rows.filter(F.col(account).isNotNull() & F.col(at).isNotNull())
 
 
-def hot_accounts(rows: DataFrame, account: str = ACCOUNT, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Accounts above ``hot_rows`` rows and how many they have."""
-    counts = rows.groupBy(account).agg(F.count("*").alias(_ROWS))
-    return counts.filter(F.col(_ROWS) > hot_rows)
-
-
 def trailing(
     rows: DataFrame,
     totals: Sequence[Total],
     bursts: Sequence[Burst] = (),
     account: str = ACCOUNT,
     at: str = AT,
-    hot_rows: int = HOT_ROWS,
+    stretch: timedelta | None = None,
 ) -> DataFrame:
     """Rows with an account and a time, plus one column per total and per burst.
 
-    Counts the rows per account first, which is one pass over the account column, so that
-    the second way is planned only where some account needs it.
+    ``stretch`` changes how rows are grouped, not the result; no span may be longer.
     """
+    longest = max(t.expiry for t in totals)
+    stretch = stretch or max(_SPANS * longest, _SHORTEST)
+    if stretch < longest:
+        raise ValueError(f"a stretch of {stretch} is shorter than {longest}")
     keep = [F.col(c) for c in rows.columns]
     keep += [F.col(t.name) for t in totals]
     keep += [_covering(b, at).alias(b.name) for b in bursts]
 
-    rows = placed(rows, account, at)
-    hot = hot_accounts(rows, account, hot_rows)
-    rows = rows.withColumns({_own(t.name): t.value for t in totals})
-    if hot.isEmpty():
-        return _whole(rows, totals, bursts, account, at).select(keep)
-    largest = F.broadcast(hot.orderBy(F.desc(_ROWS), account).limit(HOT_ACCOUNTS).select(account))
-    whole = _whole(rows.join(largest, account, "left_anti"), totals, bursts, account, at)
-    sliced = _sliced(rows.join(largest, account, "left_semi"), totals, bursts, account, at)
-    whole, sliced = whole.select(keep), sliced.select(keep)
-    return whole.unionByName(sliced.to(whole.schema))
+    rows = placed(rows, account, at).withColumns({_own(t.name): t.value for t in totals})
+    group = Window.partitionBy(account, _STRETCH)
+    forward = group.orderBy(_TIME).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    backward = group.orderBy(F.desc(_TIME)).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    moved = _moves(rows, totals, bursts, account, at, stretch)
+    rows = moved.withColumns({t.name: F.sum(_moved(t.name)).over(forward) for t in totals})
+    rows = rows.filter(F.col(_KIND) <= _OWN)
+    rows = rows.withColumns({_end(b.name): F.min(_ending(b, at)).over(backward) for b in bursts})
+    return rows.filter(F.col(_KIND) == _OWN).select(keep)
 
 
 def _own(total: str) -> str:
@@ -134,102 +131,61 @@ def _ending(burst: Burst, at: str) -> Column:
     return F.when((F.col(_own(burst.total)) > 0) & reached, F.col(at))
 
 
-def _legs(rows: DataFrame, totals: Sequence[Total], account: str, at: str) -> DataFrame:
-    """Each row at its own time (leg 0) and again at every expiry, where it is taken back.
-
-    The later legs carry the account and the amounts only.
-    """
-    expiries = sorted({t.expiry for t in totals})
-    shifts = F.array(*[F.lit(shift) for shift in [timedelta(0), *expiries]])
-    first = F.col(_LEG) == 0
-    columns = {c: F.when(first, F.col(c)) for c in rows.columns if c not in (account, at)}
-    columns[at] = F.col(at) + F.col(_SHIFT)
-    for total in totals:
-        own = F.col(_own(total.name))
-        columns[_moved(total.name)] = (
-            F.when(first, own)
-            .when(F.col(_LEG) == expiries.index(total.expiry) + 1, -own)
-            .otherwise(F.lit(0))
-        )
-    return rows.select("*", F.posexplode(shifts).alias(_LEG, _SHIFT)).withColumns(columns)
-
-
-def _forward(keys: Sequence[str], at: str) -> WindowSpec:
-    return (
-        Window.partitionBy(*keys)
-        .orderBy(at)
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-
-
-def _backward(keys: Sequence[str], at: str) -> WindowSpec:
-    return (
-        Window.partitionBy(*keys)
-        .orderBy(F.desc(at))
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-
-
-def _running(legs: DataFrame, totals: Sequence[Total], keys: Sequence[str], at: str) -> DataFrame:
-    forward = _forward(keys, at)
-    sums = {t.name: F.sum(_moved(t.name)).over(forward) for t in totals}
-    return legs.withColumns(sums).filter(F.col(_LEG) == 0)
+def _us(span: timedelta) -> int:
+    return span // timedelta(microseconds=1)
 
 
-def _whole(
-    rows: DataFrame, totals: Sequence[Total], bursts: Sequence[Burst], account: str, at: str
+def _moves(
+    rows: DataFrame,
+    totals: Sequence[Total],
+    bursts: Sequence[Burst],
+    account: str,
+    at: str,
+    stretch: timedelta,
 ) -> DataFrame:
-    """One group per account."""
-    legs = _legs(rows.repartition(account), totals, account, at)
-    rows = _running(legs, totals, [account], at)
-    backward = _backward([account], at)
-    return rows.withColumns({_end(b.name): F.min(_ending(b, at)).over(backward) for b in bursts})
+    """What each row does to the totals of its stretch and of the neighbouring ones.
 
+    A move has the start of a stretch, a time and a kind. Only the row itself carries
+    columns besides account, time and amounts.
+    """
+    expiries = sorted({t.expiry for t in totals})
+    ahead = max((_us(b.span) for b in bursts), default=0)
+    length, time = _us(stretch), epoch_us(F.col(at))
+    start = time - F.pmod(time, F.lit(length))
+    following, previous = start + length, start - length
 
-def _sliced(
-    rows: DataFrame, totals: Sequence[Total], bursts: Sequence[Burst], account: str, at: str
-) -> DataFrame:
-    """One group per account and minute, continued from the minutes before and after."""
-    keys = [account, _SLICE]
-    earlier = Window.partitionBy(account).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    later = (
-        Window.partitionBy(account)
-        .orderBy(F.desc(_SLICE))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    def move(to: Column, when: Column, kind: int, needed: Column) -> Column:
+        made = F.struct(to.alias(_STRETCH), when.alias(_TIME), F.lit(kind).alias(_KIND))
+        return F.when(needed, made)
 
-    ticks = rows.groupBy(account, at).agg(
-        *[F.sum(_own(t.name)).alias(_own(t.name)) for t in totals]
-    )
-    legs = _legs(ticks, totals, account, at).withColumn(_SLICE, epoch_minute(F.col(at)))
-    opening = (
-        legs.groupBy(*keys)
-        .agg(*[F.sum(_moved(t.name)).alias(_moved(t.name)) for t in totals])
-        .select(*keys, *[F.sum(_moved(t.name)).over(earlier).alias(f"_open_{t.name}") for t in totals])
-    )
-    ticks = (
-        _running(legs, totals, keys, at)
-        .join(opening, keys)
-        .withColumns(
-            {t.name: F.col(t.name) + F.coalesce(f"_open_{t.name}", F.lit(0)) for t in totals}
-        )
-    )
+    seen = time < start + ahead
+    moves = [move(start, time, _OWN, F.lit(True))]
     if bursts:
-        following = (
-            ticks.groupBy(*keys)
-            .agg(*[F.min(_ending(b, at)).alias(_end(b.name)) for b in bursts])
-            .select(*keys, *[F.min(_end(b.name)).over(later).alias(f"_next_{b.name}") for b in bursts])
-        )
-        backward = _backward(keys, at)
-        ticks = (
-            ticks.withColumns({_end(b.name): F.min(_ending(b, at)).over(backward) for b in bursts})
-            .join(following, keys)
-            .withColumns(
-                {_end(b.name): F.coalesce(_end(b.name), f"_next_{b.name}") for b in bursts}
-            )
+        moves.append(move(previous, time, _AHEAD, seen))
+    for number, expiry in enumerate(expiries):
+        enter, leave = 2 * number + 1, 2 * number + 2
+        end = time + _us(expiry)
+        over = end > following
+        # Times from here on are looked at by no stretch that begins at ``start``.
+        moves.append(move(start, end, leave, end < following + ahead))
+        moves += [move(following, following, enter, over), move(following, end, leave, over)]
+        if bursts:
+            moves.append(move(previous, end, leave, seen & (end < start + ahead)))
+    moves = F.filter(F.array(*moves), lambda m: m.isNotNull())
+
+    kind = F.col(_KIND)
+    columns = {
+        c: F.when(kind == _OWN, F.col(c)) for c in rows.columns if c not in (account, at)
+    }
+    for total in totals:
+        own, number = F.col(_own(total.name)), expiries.index(total.expiry)
+        columns[_own(total.name)] = F.when(kind <= _OWN, own)
+        columns[_moved(total.name)] = (
+            F.when((kind <= _OWN) | (kind == 2 * number + 1), own)
+            .when(kind == 2 * number + 2, -own)
+            .otherwise(F.lit(0))
         )
-    found = [t.name for t in totals] + [_end(b.name) for b in bursts]
-    return rows.join(ticks.select(account, at, *found), [account, at])
+    return rows.select("*", F.inline(moves)).withColumns(columns)
 
 
 def rolling_count(rows: DataFrame, span: timedelta, **options) -> DataFrame:
@@ -245,15 +201,25 @@ def rolling_sum(rows: DataFrame, span: timedelta, **options) -> DataFrame:
 
 
 def burst_rows(rows: DataFrame, span: timedelta, at_least: int, **options) -> DataFrame:
-    """Rows inside a burst, with their count and the bounds of the earliest such burst."""
+    """Rows inside a burst, with their count and the bounds of the earliest such burst.
+
+    Being in a burst depends on account and time alone, so only these are grouped; the rows
+    themselves are moved once, to be joined with the few that are found.
+    """
     counted = trailing(
-        rows,
+        rows.select(ACCOUNT, AT),
         [Total("rolling_count", span, F.lit(1), False)],
         [Burst("transaction_date_right", "rolling_count", at_least, span)],
         **options,
     )
     end = F.col("transaction_date_right")
-    return counted.filter(end.isNotNull()).withColumn("t_start", end - span)
+    inside = per_key(
+        counted.filter(end.isNotNull()),
+        [ACCOUNT, AT],
+        *[F.max(c).alias(c) for c in ("rolling_count", "transaction_date_right")],
+    )
+    found = rows.join(inside, [ACCOUNT, AT]).withColumn("t_start", end - span)
+    return found.select(*rows.columns, "rolling_count", "transaction_date_right", "t_start")
 
 
 def sum_by_ref(rows: DataFrame, span: timedelta, **options) -> DataFrame:

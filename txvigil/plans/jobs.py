@@ -14,7 +14,6 @@ from txvigil.operators.deltas import append_delta, new_keys, per_key
 from txvigil.operators.filters import filter_eligible, since
 from txvigil.operators.flags import add_missing_flags, merge_flags
 from txvigil.operators.keys import dedupe
-from txvigil.operators.rolling import HOT_ROWS
 from txvigil.plans.families import Family
 from txvigil.plans.rules import Rule, evaluate, flagged_refs
 from txvigil.schema import AT, EVENT_DATE, FLAG_TYPE, REF
@@ -101,11 +100,10 @@ def run_rule(
     history_path: str,
     output_path: str,
     as_of: date,
-    hot_rows: int = HOT_ROWS,
 ) -> int:
     """Writes the rule's flagged transactions, none at all included, and returns their number."""
     history = read_history(spark, history_path, family.flags)
-    found = replace_table(evaluate(rule, history, as_of, family.flags, hot_rows), output_path)
+    found = replace_table(evaluate(rule, history, as_of, family.flags), output_path)
     log.info("%s: %d flagged", rule.name, found)
     return found
 
@@ -176,7 +174,6 @@ def run_family(
     n_days: int | None = None,
     outputs: bool = True,
     rejects_path: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> dict[str, int]:
     """Ingest, then all rules, then one merge of all their flags.
 
@@ -191,13 +188,13 @@ def run_family(
         paths = {rule.flag: f"{output_folder}/{rule.name}" for rule in family.rules}
         for rule in family.rules:
             report[rule.flag] = run_rule(
-                spark, rule, family, history_path, paths[rule.flag], as_of, hot_rows
+                spark, rule, family, history_path, paths[rule.flag], as_of
             )
         hits = output_refs(spark, paths, as_of, family.merge_days)
     else:
         history = read_history(spark, history_path, family.flags)
         path = f"{output_folder}/{family.name}_refs"
-        replace_table(flagged_refs(family.rules, history, as_of, hot_rows), path)
+        replace_table(flagged_refs(family.rules, history, as_of), path)
         hits = read_table(spark, path)
     report["updated"] = update_flags(spark, family, history_path, hits)
     return report

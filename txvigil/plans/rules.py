@@ -13,7 +13,6 @@ from txvigil.operators.filters import between_hours, filter_cutoff, filter_hours
 from txvigil.operators.flags import set_flag
 from txvigil.operators.keys import dedupe
 from txvigil.operators.rolling import (
-    HOT_ROWS,
     Burst,
     Total,
     burst_rows,
@@ -73,7 +72,6 @@ def evaluate(
     history: DataFrame,
     as_of: date,
     flags: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The flagged transactions, without the history's own ``flags``.
 
@@ -81,16 +79,14 @@ def evaluate(
     """
     rows = rule.select(history, as_of).drop(*flags, EVENT_DATE)
     if isinstance(rule, BurstRule):
-        inside = burst_rows(rows, rule.span, rule.at_least, hot_rows=hot_rows)
+        inside = burst_rows(rows, rule.span, rule.at_least)
         return set_flag(dedupe(inside, REF, [AT, "transaction_date_right"]))
-    sums = sum_by_ref(rows, rule.span, hot_rows=hot_rows)
+    sums = sum_by_ref(rows, rule.span)
     above = sums.filter(F.col("rolling_sum") >= rule.at_least).select(REF)
     return set_flag(placed(rows).join(above, REF, "left_semi").select(rows.columns))
 
 
-def flagged_refs(
-    rules: Sequence[Rule], history: DataFrame, as_of: date, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def flagged_refs(rules: Sequence[Rule], history: DataFrame, as_of: date) -> DataFrame:
     """Reference numbers that any of the rules flags, with one 0/1 column per rule.
 
     All rules share one scan and one shuffle by account of just the columns they need: a
@@ -114,6 +110,6 @@ def flagged_refs(
         hits.append(F.coalesce(hit, F.lit(False)).cast(FLAG_TYPE).alias(rule.flag))
     if any(isinstance(rule, SumRule) for rule in rules):
         columns.append(AMOUNT)
-    rolled = trailing(history.select(columns), totals, bursts, hot_rows=hot_rows)
+    rolled = trailing(history.select(columns), totals, bursts)
     per_ref = per_key(rolled.filter(F.col(REF).isNotNull()), [REF], *hits)
     return per_ref.filter(F.greatest(*[F.col(r.flag) for r in rules], F.lit(0)) == 1)
