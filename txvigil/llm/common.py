@@ -34,10 +34,16 @@ def shared_path(spark: SparkSession) -> str:
     return path
 
 
-def stored(rows: DataFrame) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends here and outlives executors."""
+def stored(rows: DataFrame, free: bool = False) -> DataFrame:
+    """The rows as a table in the shared folder: lineage ends here and outlives executors.
+
+    Spark removes the files of a shuffle once the driver has collected what refers to it.
+    ``free`` asks for that now, after a large shuffle that ends here.
+    """
     path = shared_path(rows.sparkSession)
     rows.write.option("compression", "zstd").parquet(path)
+    if free:
+        rows.sparkSession._jvm.System.gc()
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -66,6 +66,10 @@ def by_rarity(content: Column, levels: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(words(content), number)))
 
 
+def prefix_length(n: Column, threshold: int) -> Column:
+    return F.floor(n * (100 - threshold) / 100).cast("int") + 1
+
+
 def signed(lines: DataFrame, levels: Column, threshold: int) -> DataFrame:
     """Adds the size ``n``, the ``prefix`` words and ``bits`` (parity of the words' hashes).
 
@@ -73,57 +77,58 @@ def signed(lines: DataFrame, levels: Column, threshold: int) -> DataFrame:
     """
     lines = lines.withColumn("_words", by_rarity(F.col("content"), levels))
     n = F.size("_words")
-    bits = F.aggregate(
-        "_words",
-        F.lit(0).cast("long"),
-        lambda mask, w: mask.bitwiseXOR(_bit(w)),
-    )
-    longest = F.floor(n * (100 - threshold) / 100).cast("int") + 1
     whole = F.array(-F.abs(F.xxhash64("_words").bitwiseAND(F.lit((1 << 62) - 1))) - 1)
-    prefix = F.when((n + 1) * threshold > n * 100, whole).otherwise(F.slice("_words", 1, longest))
-    return lines.select("*", n.alias("n"), prefix.alias("prefix"), bits.alias("bits")).drop("_words")
+    front = F.slice("_words", 1, prefix_length(n, threshold))
+    prefix = F.when((n + 1) * threshold > n * 100, whole).otherwise(front)
+    bits = F.aggregate("_words", F.lit(0).cast("long"), lambda mask, w: mask.bitwiseXOR(_bit(w)))
+    return lines.select("*", n.alias("n"), bits.alias("bits"), prefix.alias("prefix")).drop("_words")
 
 
 def _bit(word: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def similar(a: str, b: str, threshold: int) -> Column:
-    """What the filters leave of pairs that share a prefix word, earlier line ``a``."""
-    n = F.col(f"{a}n") + F.col(f"{b}n")
-    shared = 1 + F.least(F.col(f"{a}n") - F.col(f"{a}pos"), F.col(f"{b}n") - F.col(f"{b}pos"))
-    differ = F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits")))
-    earlier = F.struct(f"{a}doc", f"{a}line") < F.struct(f"{b}doc", f"{b}line")
-    fewer, more = F.least(f"{a}n", f"{b}n"), F.greatest(f"{a}n", f"{b}n")
-    return (
-        earlier
-        & (100 * fewer >= threshold * more)
-        & ((100 + threshold) * shared >= threshold * n)
-        # |A xor B| is at most (1 - t) / (1 + t) of |A| + |B|, and at least the differing bits.
-        & ((100 + threshold) * differ <= (100 - threshold) * n)
-    )
+def candidates(rows: DataFrame, threshold: int) -> DataFrame:
+    """(a_doc, a_line, b_doc, b_line) of pairs that share enough of their prefixes.
+
+    Rows are pairs, once for each prefix word they share. All common words up to the end of
+    the shorter-reaching prefix are in both, so what is not counted here is no more than the
+    words after that prefix.
+    """
+    a, b = F.col("a_n"), F.col("b_n")
+    alike = 100 * F.least(a, b) >= threshold * F.greatest(a, b)
+    # The sets differ in at least as many words as their parities in bits.
+    differ = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
+    alike = alike & ((100 + threshold) * differ <= (100 - threshold) * (a + b))
+    counted = rows.filter(alike).groupBy("a_doc", "a_line", "b_doc", "b_line", "a_n", "b_n")
+    rest = F.greatest(a - prefix_length(a, threshold), b - prefix_length(b, threshold))
+    enough = (100 + threshold) * (F.col("count") + rest) >= threshold * (a + b)
+    return counted.count().filter(enough).select("a_doc", "a_line", "b_doc", "b_line")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
     """Later lines (doc, line) of those pairs whose words really are similar."""
-    places = stored(
-        pairs.select("a_doc", "a_line")
-        .union(pairs.select("b_doc", "b_line"))
-        .toDF(*_PLACE)
-        .distinct()
-    )
+    places = pairs.select("a_doc", "a_line").union(pairs.select("b_doc", "b_line"))
+    places = places.toDF(*_PLACE).groupBy("doc").agg(F.collect_set("line").alias("_places"))
+    places = stored(places)
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL))
-    owners = stored(places.select("doc").distinct())
-    chosen = docs.select(key.alias("doc"), text).join(beside(owners), "doc", "left_semi")
-    contents = split_lines(chosen, "doc", text).join(beside(places), [*_PLACE], "left_semi")
-    contents = stored(contents.select(*_PLACE, F.array_distinct(words(F.col("content"))).alias("words")))
+    # Only the lines that are asked for are taken out of a text.
+    found = docs.select(key.alias("doc"), F.split(F.col(text), "\n").alias("_all"))
+    found = found.join(beside(places), "doc").select(
+        "doc", F.inline(F.transform("_places", lambda i: F.struct(i.alias("line"), F.get("_all", i).alias("content"))))
+    )
+    contents = stored(found.filter("content IS NOT NULL"))
     for side in ("a", "b"):
         names = [f"{side}_{c}" for c in _PLACE]
-        pairs = pairs.join(contents.toDF(*names, f"{side}_words"), names)
-    both = F.size(F.array_intersect("a_words", "b_words"))
-    either = F.size("a_words") + F.size("b_words") - both
-    found = pairs.filter(100 * both >= threshold * either)
-    return stored(found.select(F.col("b_doc").alias("doc"), F.col("b_line").alias("line")).distinct())
+        pairs = pairs.join(contents.toDF(*names, f"{side}_content"), names)
+    sides = [
+        F.array_distinct(F.transform(words(F.col(f"{side}_content")), lambda w: F.xxhash64(w)))
+        for side in ("a", "b")
+    ]
+    pairs = pairs.select("b_doc", "b_line", *[w.alias(n) for w, n in zip(sides, "ab", strict=True)])
+    both = F.size(F.array_intersect("a", "b"))
+    similar_ = 100 * both >= threshold * (F.size("a") + F.size("b") - both)
+    return stored(pairs.filter(similar_).select("b_doc", "b_line").distinct().toDF(*_PLACE))
 
 
 def duplicates(
@@ -136,7 +141,7 @@ def duplicates(
     """
     levels = word_levels(docs, text)
     lines = split_lines(docs, doc_id, text)
-    worded = lines.filter(F.col("content").rlike(r"[^\x20\x09-\x0D]"))
+    worded = lines.filter(F.btrim("content", F.lit(" \t\n\x0b\f\r")) != "")
     equal = [F.xxhash64("content").alias("h"), F.xxhash64(F.lit(1), "content").alias("g")]
 
     once = signed(worded, levels, threshold).select("*", *equal).groupBy("h", "g").agg(
@@ -144,38 +149,39 @@ def duplicates(
         F.count("*").alias("times"),
         F.first(F.struct("n", "bits", "prefix")).alias("signed"),
     )
-    once = once.select("h", "g", "place.*", "times", "signed.*")
+    once = stored(once.select("h", "g", "place.*", "times", "signed.*"), free=True)
+    sizes = once.select(*_PLACE, "n", "bits")
     # Buckets of one line make no pairs; in the others every line also sees the earliest.
-    own = ("doc", "line", "n", "pos", "bits")
-    rows = once.select("doc", "line", "n", "bits", F.posexplode("prefix").alias("pos", "word"))
-    rows = rows.withColumn("pos", F.col("pos") + 1)
+    rows = once.select(F.explode("prefix").alias("word"), *_PLACE)
     bucket = Window.partitionBy("word")
-    rows = rows.withColumn("hub", F.min(F.struct(*own)).over(bucket)).withColumn(
+    rows = rows.withColumn("hub", F.min(F.struct(*_PLACE)).over(bucket)).withColumn(
         "rows", F.count("*").over(bucket)
     )
-    shared = stored(rows.filter("rows > 1").select("word", *own, *[F.col(f"hub.{c}").alias(f"a_{c}") for c in own]))
+    rows = rows.filter("rows > 1").select("word", *_PLACE, F.col("hub.doc").alias("a_doc"), F.col("hub.line").alias("a_line"))
+    shared = stored(rows.join(sizes, [*_PLACE]), free=True)
+    own = (*_PLACE, "n", "bits")
     later = shared.withColumnsRenamed({c: f"b_{c}" for c in own})
-    first = stored(later.filter(similar("a_", "b_", threshold)).select("a_doc", "a_line", "b_doc", "b_line").distinct())
+    earlier = F.struct("a_doc", "a_line") < F.struct("b_doc", "b_line")
+    first = later.join(sizes.toDF("a_doc", "a_line", "a_n", "a_bits"), ["a_doc", "a_line"])
+    first = stored(candidates(first.filter(earlier), threshold))
     gone = verified(first, docs, doc_id, text, threshold)
 
-    left = later.drop(*[f"a_{c}" for c in own]).join(
+    left = later.drop("a_doc", "a_line").join(
         beside(gone.toDF("b_doc", "b_line")), ["b_doc", "b_line"], "left_anti"
     )
     others = shared.select("word", *[F.col(c).alias(f"a_{c}") for c in own])
-    more = left.join(others, "word").filter(similar("a_", "b_", threshold))
-    more = stored(more.select("a_doc", "a_line", "b_doc", "b_line").distinct())
+    more = candidates(left.join(others, "word").filter(earlier), threshold)
+    more = stored(more.join(first, first.columns, "left_anti"), free=True)
     gone = stored(gone.union(verified(more, docs, doc_id, text, threshold)).distinct())
 
-    repeats = (
-        worded.select(*equal, *_PLACE)
-        .groupBy("h", "g")
-        .agg(F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("times"))
-        .select("h", "g", F.col("first.doc").alias("doc"), F.col("first.line").alias("line"), "times")
-        .join(beside(gone.withColumn("gone", F.lit(True))), [*_PLACE], "left")
-        .filter("times > 1 OR gone")
+    repeats = once.select("h", "g", *_PLACE, "times").join(
+        beside(gone.withColumn("gone", F.lit(True))), [*_PLACE], "left"
     )
     repeats = stored(
-        repeats.select("h", "g", F.col("doc").alias("_doc"), F.col("line").alias("_line"), F.coalesce("gone", F.lit(False)).alias("gone"))
+        repeats.filter("times > 1 OR gone").select(
+            "h", "g", F.col("doc").alias("_doc"), F.col("line").alias("_line"),
+            F.coalesce("gone", F.lit(False)).alias("gone"),
+        )
     )
     found = worded.select(*_PLACE, *equal).join(beside(repeats), ["h", "g"])
     found = found.filter("gone OR doc <> _doc OR line <> _line")
