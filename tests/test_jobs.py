@@ -6,8 +6,17 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from txvigil.plans import jobs
 from txvigil.plans.families import CCW, FAMILIES, TF_ONLINE
-from txvigil.plans.jobs import Ingested, ingest, output_refs, run_family, run_rule, update_flags
+from txvigil.plans.jobs import (
+    Ingested,
+    ingest,
+    new_rows,
+    output_refs,
+    run_family,
+    run_rule,
+    update_flags,
+)
 from txvigil.plans.rules import evaluate, flagged_refs
 from txvigil.schema import TRANSACTION
 from txvigil.sources import tables
@@ -76,7 +85,7 @@ def test_ingest_without_drops_or_eligible_rows(spark, site):
     assert ingest(spark, CCW, site.drops, site.history, DAY) == Ingested()
     site.drop("20250110", line("a", "2025-01-10 08:00:00", category="OTHER"))
     assert ingest(spark, CCW, site.drops, site.history, DAY).added == 0
-    assert not tables.table_exists(spark, site.history)
+    assert site.rows() == []
     site.drop("20250110", line("a", "2025-01-10 08:00:00"))
     assert ingest(spark, CCW, site.drops, site.history, DAY).added == 1
     site.drop("20250110", line("a", "2025-01-10 08:00:00", category="OTHER"))
@@ -113,7 +122,9 @@ def test_only_days_with_new_flags_are_rewritten(spark, site):
     site.drop("20250110", line("a", "2025-01-10 08:00:00"), line("b", "2025-01-09 08:00:00"))
     ingest(spark, CCW, site.drops, site.history, DAY)
     before = site.files()
-    hits = spark.createDataFrame([("a", 1), ("z", 1)], "no_referensi string, flag tinyint")
+    hits = spark.createDataFrame(
+        [("a", DAY, 1), ("z", DAY, 1)], "no_referensi string, event_date date, flag tinyint"
+    )
     assert update_flags(spark, CCW, site.history, hits) == 1
     assert site.rows("flag") == [("a", 1), ("b", 0)]
     after = site.files()
@@ -124,6 +135,64 @@ def test_only_days_with_new_flags_are_rewritten(spark, site):
     assert site.files() == after
 
 
+def hit(spark, ref, day, flag):
+    return spark.createDataFrame([(ref, day, 1)], f"no_referensi string, event_date date, {flag} tinyint")
+
+
+def plain_history(tx, path, **flags):
+    rows = tx(*[(f"2025-01-0{day}", 1, "A", f"r{day}") for day in range(1, 6)])
+    rows = rows.withColumns({name: F.lit(value) for name, value in flags.items()})
+    rows.withColumn("event_date", F.to_date("transaction_date")).write.partitionBy("event_date").parquet(path)
+
+
+@pytest.mark.parametrize("first", [1, 3, 5])
+def test_merging_a_flag_the_history_lacks(spark, tx, site, first):
+    plain_history(tx, site.history)
+    for day in (first, 4, 2):
+        found = hit(spark, f"r{day}", date(2025, 1, day), "flag_10min")
+        assert update_flags(spark, TF_ONLINE, site.history, found) == 1
+        assert update_flags(spark, TF_ONLINE, site.history, found) == 0
+    rows = tables.read_history(spark, site.history, TF_ONLINE.flags).collect()
+    assert {r.no_referensi: r.flag_10min for r in rows} == {
+        f"r{day}": int(day in (first, 4, 2)) for day in range(1, 6)
+    }
+    assert {(r.flag_5min, r.flag_50mio, r.flag_50mio_early) for r in rows} == {(0, 0, 0)}
+
+
+def test_merging_into_boolean_flags(spark, tx, site):
+    plain_history(tx, site.history, flag=True)
+    assert update_flags(spark, CCW, site.history, hit(spark, "r3", date(2025, 1, 3), "flag")) == 0
+    plain = f"{site.history}2"
+    plain_history(tx, plain, flag=False)
+    found = hit(spark, "r3", date(2025, 1, 3), "flag")
+    assert [update_flags(spark, CCW, plain, found) for _ in range(2)] == [1, 0]
+    rows = tables.read_history(spark, plain, CCW.flags).collect()
+    assert {r.no_referensi: r.flag for r in rows} == {f"r{d}": int(d == 3) for d in range(1, 6)}
+
+
+def test_merge_reads_only_the_days_of_its_hits(spark, tx, site, monkeypatch):
+    rows = tx(("2025-01-09", 1), ("2025-01-10", 1)).withColumn("flag", F.lit(0).cast("tinyint"))
+    tables.replace_history(rows, site.history)
+    plans = []
+    real = jobs.replace_days
+
+    def kept(rows, path):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return real(rows, path)
+
+    monkeypatch.setattr(jobs, "replace_days", kept)
+    assert update_flags(spark, CCW, site.history, hit(spark, "r1", DAY, "flag")) == 1
+    for scan in plans[0].split("FileScan")[1:]:
+        if "to_bank_name" in scan or "event_date" in scan:
+            assert "event_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_ingest_filters_the_history_before_comparing(spark, tx):
+    history, daily = tx(*[("2025-01-01", 1)] * 50), tx(("2025-01-02", 1))
+    plan = new_rows(daily, history)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "LeftAnti" in plan and "Aggregate" not in plan
+
+
 def test_old_outputs_can_be_cut_off(spark, tx, site):
     path = f"{site.outputs}/ccw"
     tables.replace_table(tx(("2025-01-07", 1), ("2025-01-08", 1), ("2025-01-10", 1)), path)

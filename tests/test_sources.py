@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from txvigil.schema import TRANSACTION
 from txvigil.sources import drops, tables
-from txvigil.sources.files import exists, move
 
 HEADER = "|".join(TRANSACTION.names)
 DAY = date(2025, 1, 10)
@@ -145,33 +144,80 @@ def test_replacing_days_leaves_the_others(spark, tx, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["h"]
 
 
-def test_history_without_rows_is_not_written(spark, tx, tmp_path):
+def test_history_without_rows_keeps_its_schema(spark, tx, tmp_path):
     path = str(tmp_path / "h")
     tables.replace_history(tx(("2025-01-01", 1)).filter("false"), path)
-    assert not tables.table_exists(spark, path)
+    assert tables.read_table(spark, path).columns == [*TRANSACTION.names, "event_date"]
+    tables.append_history(tx(("2025-01-01", 1)), path)
+    assert tables.read_table(spark, path).count() == 1
 
 
-def test_recovers_days(spark, tx, tmp_path):
+@pytest.mark.parametrize("days_only", [False, True])
+def test_readers_see_the_whole_old_or_new_table(spark, tx, tmp_path, monkeypatch, days_only):
+    """A reader at every step of a write; it changes nothing, and the write ends well."""
     path = str(tmp_path / "h")
-    tables.replace_history(tx(("2025-01-01", 1), ("2025-01-02", 1)), path)
-    move(spark, f"{path}/event_date=2025-01-02", f"{path}.days/event_date=2025-01-02")
-    assert days(tables.read_table(spark, path)) == ["2025-01-01", "2025-01-02"]
-    assert not exists(spark, f"{path}.days")
+    rows = tx(("2025-01-01", 1), ("2025-01-02", 1), ("2025-01-03", 1))
+    tables.replace_history(rows, path)
+    seen = []
+
+    def look():
+        found = tables.read_table(spark, path).collect()
+        seen.append(sorted((r.no_referensi, r.transaction_amount) for r in found))
+
+    for name in ("_write_days", "_tidy", "_publish"):
+        real = getattr(tables, name)
+
+        def looked(*args, real=real):
+            look()
+            result = real(*args)
+            look()
+            return result
+
+        monkeypatch.setattr(tables, name, looked)
+    new = tables.read_table(spark, path).withColumn("transaction_amount", F.lit(5.0))
+    if days_only:
+        tables.replace_days(new.filter("event_date = '2025-01-02'"), path)
+    else:
+        tables.replace_history(new, path)
+    old = [("r0", 1.0), ("r1", 1.0), ("r2", 1.0)]
+    changed = [("r0", 1.0), ("r1", 5.0), ("r2", 1.0)] if days_only else [(r, 5.0) for r, _ in old]
+    assert seen[-1] == changed
+    assert all(s in (old, changed) for s in seen) and old in seen
+
+
+def test_what_a_crash_leaves_is_removed_by_the_next_write(spark, tmp_path):
+    path = tmp_path / "t"
+    tables.replace_table(spark.range(1), str(path))
+    (path / "v=dead").mkdir()
+    tables.replace_table(spark.range(2), str(path))
+    assert not (path / "v=dead").exists()
+    for n in range(3, 6):
+        tables.replace_table(spark.range(n), str(path))
+    # The current one, the one it replaced, and the one before, which the next write removes.
+    assert len(list(path.glob("v=*"))) == 3
+    assert not list(path.glob("*.tmp"))
+
+
+def test_plain_parquet_is_taken_over(spark, tx, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(2).write.parquet(path)
+    assert tables.read_table(spark, path).count() == 2
+    tables.append_table(spark.range(1), path)
+    assert tables.read_table(spark, path).count() == 3
 
 
-@pytest.mark.parametrize("replaced", [True, False])
-def test_recovers_tables(spark, tmp_path, replaced):
+def test_columns_may_be_added_but_not_changed(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.range(1), path)
-    move(spark, path, f"{path}.old")
-    if replaced:
-        tables.write_table(spark.range(2), path)
-    assert tables.read_table(spark, path).count() == (2 if replaced else 1)
-    assert not exists(spark, f"{path}.old")
+    tables.append_table(spark.range(1).withColumn("note", F.lit("x")), path)
+    assert sorted(str(r.note) for r in tables.read_table(spark, path).collect()) == ["None", "x"]
+    with pytest.raises(ValueError, match="id"):
+        tables.append_table(spark.range(1).selectExpr("'a' AS id"), path)
+    assert tables.read_table(spark, path).count() == 2
 
 
 def test_compression(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.range(1), path)
     tables.append_table(spark.range(1), path)
-    assert len(list((tmp_path / "t").glob("*.zstd.parquet"))) >= 2
+    assert len(list((tmp_path / "t").rglob("*.zstd.parquet"))) >= 2

@@ -69,7 +69,8 @@ def main(argv: list[str] | None = None) -> None:
         )
     else:
         paths = {rule.flag: f"{options.outputs}/{rule.name}" for rule in family.rules}
-        hits = output_refs(spark, paths, options.as_of, options.days or family.merge_days)
+        days = family.merge_days if options.days is None else options.days
+        hits = output_refs(spark, paths, options.as_of, days, dated=True)
         if hits is not None:
             update_flags(spark, family, options.history, hits)
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
-from txvigil.catalog.queries import TUNED, as_of, days, hours, tuned
+from txvigil.catalog.queries import MERGE_DAYS, RUNS, TUNED, as_of, days, hours, tuned
 from txvigil.catalog.views import TX, emit_sql
-from txvigil.plans.families import TF_ONLINE
+from txvigil.plans.families import CCW, LISTRIK, TF_ONLINE, Family
 from txvigil.plans.rules import BurstRule, Rule
 
 ORACLES: dict[str, str] = {}
@@ -109,6 +110,23 @@ def rule_sql(name: str) -> str:
 ORACLES.update({f"rule_{name}": rule_sql(name) for name in TUNED})
 
 
+def warmup_sql(name: str) -> str:
+    """A burst rule that also sees the span before its lookback."""
+    rule, table = tuned(name), TUNED[name][0]
+    first = as_of(table) - timedelta(days=rule.lookback)
+    early = f"epoch_us(transaction_date) >= epoch_us(TIMESTAMP '{first}') - {micros(rule.span)}"
+    day = "CAST(CAST(transaction_date AS DATE) AS VARCHAR) AS temp_date_col"
+    shown = emit_sql(day, *burst_columns(rule.span), "1 AS flag")
+    late = f"(SELECT * FROM burst WHERE transaction_date >= TIMESTAMP '{first}')"
+    return (
+        f"WITH {tx(table, early)}, {inside(rule.span, rule.at_least)} "
+        f"SELECT {shown} FROM {first_per_ref(late, f'transaction_date, e, {_REST}')}"
+    )
+
+
+ORACLES["rule_ccw_warmup"] = warmup_sql("ccw")
+
+
 def rows_sql(where: str = "true", *more: str, table: str = "events") -> str:
     return f"SELECT {emit_sql(*more)} FROM ({TX[table]}) WHERE {where}"
 
@@ -124,10 +142,11 @@ ORACLES["null_tokens"] = (
     f"THEN NULL ELSE transaction_category END AS to_bank_name) FROM ({rows_sql()})"
 )
 ORACLES["glob_scan"] = (
-    "SELECT CAST(no_referensi AS BIGINT) AS no_referensi, "
-    "CAST(from_account_number AS BIGINT) AS from_account_number, transaction_amount, "
-    f"transaction_category FROM ({TX['events']}) "
-    "WHERE transaction_status = 0 AND transaction_state = 1"
+    "SELECT * REPLACE (strftime(transaction_date, '%Y-%m-%d %H:%M:%S') AS transaction_date, "
+    "CAST(no_referensi AS BIGINT) AS no_referensi, "
+    "CAST(from_account_number AS BIGINT) AS from_account_number, "
+    "CAST(transaction_status AS INTEGER) AS transaction_status, "
+    f"CAST(transaction_state AS INTEGER) AS transaction_state) FROM ({TX['events']})"
 )
 ORACLES["staged_overwrite"] = rows_sql(
     "true", "CASE WHEN transaction_amount >= 100 THEN 1 ELSE 0 END AS flag"
@@ -303,19 +322,30 @@ ORACLES["all_flagged"] = " UNION ALL ".join(
 )
 
 
-def family_sql(eligible: str) -> str:
-    """Reference numbers of the family's rules with one column per flag, as table ``family``."""
+def family_sql(
+    eligible: str, family: Family = TF_ONLINE, runs: Sequence[date] = (), merged: int | None = None
+) -> str:
+    """Reference numbers of the family's rules with one column per flag, as table ``family``.
+
+    With ``runs`` what the history up to each of these days gives, taken together; with
+    ``merged`` of each run only the transactions of so many days.
+    """
     parts = []
-    for rule in TF_ONLINE.rules:
+    for rule in family.rules:
         rule = tuned(rule.name)
-        rows = tx("events", f"{chosen(rule, as_of('events'))} AND {eligible}")
-        if isinstance(rule, BurstRule):
-            refs = f"WITH {rows}, {inside(rule.span, rule.at_least)} SELECT no_referensi FROM burst"
-        else:
-            refs = f"WITH {rows}, {above(rule.span, rule.at_least)} SELECT no_referensi FROM hit"
-        parts.append(f"SELECT no_referensi, '{rule.flag}' AS flag FROM ({refs})")
+        for day in runs or [as_of("events")]:
+            until = f"CAST(transaction_date AS DATE) <= DATE '{day}'" if runs else "true"
+            rows = tx("events", f"{chosen(rule, day)} AND {eligible} AND {until}")
+            if isinstance(rule, BurstRule):
+                refs = f"WITH {rows}, {inside(rule.span, rule.at_least)} SELECT no_referensi FROM burst"
+                if merged is not None:
+                    first = day - timedelta(days=merged)
+                    refs += f" WHERE CAST(transaction_date AS DATE) >= DATE '{first}'"
+            else:
+                refs = f"WITH {rows}, {above(rule.span, rule.at_least)} SELECT no_referensi FROM hit"
+            parts.append(f"SELECT no_referensi, '{rule.flag}' AS flag FROM ({refs})")
     shown = ", ".join(
-        f"max(CASE WHEN flag = '{f}' THEN 1 ELSE 0 END) AS {f}" for f in TF_ONLINE.flags
+        f"max(CASE WHEN flag = '{f}' THEN 1 ELSE 0 END) AS {f}" for f in family.flags
     )
     return (
         f"family AS (SELECT no_referensi, {shown} FROM ({' UNION ALL '.join(parts)}) "
@@ -323,6 +353,15 @@ def family_sql(eligible: str) -> str:
     )
 
 
+def pipeline_sql(family: Family, merged: int | None = None) -> str:
+    found = family_sql(_ELIGIBLE, family, [day for day, _ in RUNS], merged)
+    shown = emit_sql(_EVENT_DATE, *[f"coalesce({f}, 0) AS {f}" for f in family.flags])
+    return (
+        f"WITH {found} SELECT {shown} FROM ({TX['events']}) "
+        f"LEFT JOIN family USING (no_referensi) WHERE {_ELIGIBLE}"
+    )
+
+
 ORACLES["family_refs"] = f"WITH {family_sql('true')} SELECT * FROM family"
 
 # Table maintenance
@@ -336,8 +375,27 @@ _EVENT_DATE = "CAST(CAST(transaction_date AS DATE) AS VARCHAR) AS event_date"
 ORACLES["ingest_append"] = rows_sql(
     _ELIGIBLE, _EVENT_DATE, *[f"0 AS {f}" for f in TF_ONLINE.flags]
 )
-ORACLES["family_pipeline"] = ORACLES["family_pipeline_refs"] = (
-    f"WITH {family_sql(_ELIGIBLE)} SELECT "
-    + emit_sql(_EVENT_DATE, *[f"coalesce({f}, 0) AS {f}" for f in TF_ONLINE.flags])
-    + f" FROM ({TX['events']}) LEFT JOIN family USING (no_referensi) WHERE {_ELIGIBLE}"
+ORACLES["family_pipeline"] = ORACLES["family_pipeline_refs"] = pipeline_sql(TF_ONLINE)
+ORACLES["family_pipeline_ccw"] = ORACLES["family_pipeline_ccw_refs"] = pipeline_sql(CCW, MERGE_DAYS)
+ORACLES["family_pipeline_position"] = pipeline_sql(LISTRIK)
+
+_HIT = (
+    "CAST(transaction_date AS DATE) IN (DATE '2024-01-15', DATE '2024-01-20') "
+    "AND transaction_amount >= 100"
+)
+ORACLES["flag_merge_evolved"] = rows_sql(
+    "true",
+    _EVENT_DATE,
+    "CAST(transaction_status AS INTEGER) AS flag_5min",
+    f"CASE WHEN {_HIT} THEN 1 ELSE 0 END AS flag_10min",
+    "0 AS flag_50mio",
+    "0 AS flag_50mio_early",
+)
+ORACLES["flag_merge_boolean"] = rows_sql(
+    "true",
+    _EVENT_DATE,
+    f"CASE WHEN transaction_amount >= 150 OR {_HIT} THEN 1 ELSE 0 END AS flag_5min",
+    "0 AS flag_10min",
+    "0 AS flag_50mio",
+    "0 AS flag_50mio_early",
 )

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from txvigil.catalog.views import AS_OF, AS_OF_ORDERS, emit, transactions
 from txvigil.functions import parse_timestamp, stamp
 from txvigil.operators import deltas, filters, flags, keys, ordering, rolling
-from txvigil.plans.families import RULES, TF_ONLINE, Family
-from txvigil.plans.jobs import ingest, output_refs, run_family
+from txvigil.plans.families import CCW, LISTRIK, RULES, TF_ONLINE, Family
+from txvigil.plans.jobs import ingest, output_refs, run_family, update_flags
 from txvigil.plans.rules import Rule, evaluate, flagged_refs
 from txvigil.schema import ACCOUNT, AMOUNT, AT, CATEGORY, CHANNEL, REF, STATE, STATUS, TRANSACTION
 from txvigil.sources import drops, tables
@@ -43,17 +43,17 @@ def days(n: float) -> timedelta:
 # Thresholds that single out a part of the given tables; the shapes are the rules' own.
 # rule -> (table, span, threshold, lookback)
 TUNED = {
-    "ccw": ("events", hours(6), 3, 30),
-    "tf_online_5min": ("events", hours(1), 2, 30),
-    "tf_online_10min": ("events", hours(6), 4, 30),
-    "tf_online_50mio": ("events", hours(24), 200, 30),
-    "tf_online_50mio_early": ("events", hours(24), 100, 30),
-    "ewallet_10min": ("orders", days(30), 3, 3650),
-    "ewallet_5mio": ("orders", days(30), 500_000, 3650),
-    "listrik_10min": ("events", hours(24), 5, 30),
-    "listrik_5mio": ("events", hours(24), 300, 30),
-    "pulsa_10min": ("orders", days(60), 4, 3650),
-    "pulsa_5mio": ("lineitem", days(2), 200_000, 3650),
+    "ccw": ("events", hours(6), 3, 20),
+    "tf_online_5min": ("events", hours(1), 2, 15),
+    "tf_online_10min": ("events", hours(6), 4, 15),
+    "tf_online_50mio": ("events", hours(24), 200, 15),
+    "tf_online_50mio_early": ("events", hours(24), 100, 15),
+    "ewallet_10min": ("orders", days(30), 3, 2000),
+    "ewallet_5mio": ("orders", days(30), 500_000, 2000),
+    "listrik_10min": ("events", hours(24), 5, 12),
+    "listrik_5mio": ("events", hours(24), 300, 12),
+    "pulsa_10min": ("orders", days(60), 4, 2000),
+    "pulsa_5mio": ("lineitem", days(2), 200_000, 2000),
     "qr_10min": ("events", timedelta(minutes=10), 2, None),
     "qr_5mio": ("lineitem", days(2), 150_000, None),
     "non_qr_10min": ("lineitem", days(2), 4, None),
@@ -84,6 +84,12 @@ for _name in TUNED:
     QUERIES[f"rule_{_name}"] = rule_query(_name)
 
 
+@query
+def rule_ccw_warmup(spark, sf_dir):
+    rows = transactions(spark, sf_dir)
+    return emit(evaluate(tuned("ccw"), rows, AS_OF, warmup=True))
+
+
 # Sources and sinks
 
 
@@ -133,13 +139,7 @@ def positional_rename(spark, sf_dir):
 def glob_scan(spark, sf_dir):
     source = write_drops(transactions(spark, sf_dir))
     rows = drops.read_all(spark, f"{source.folder}/*/*.csv")
-    eligible = (F.col(STATUS).cast("long") == 0) & (F.col(STATE).cast("long") == 1)
-    return rows.filter(eligible).select(
-        F.col(REF).cast("long").alias(REF),
-        F.col(ACCOUNT).cast("long").alias(ACCOUNT),
-        AMOUNT,
-        CATEGORY,
-    )
+    return rows.withColumn(AT, F.date_format(AT, "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
@@ -435,6 +435,34 @@ def flag_merge_cutoff(spark, sf_dir):
     return emit(flags.merge_flags(_flagged_history(spark, sf_dir), hits, ["flag"]))
 
 
+def _stored(rows: DataFrame) -> str:
+    """A history that other means have written: plain Parquet by day."""
+    path = shared_folder(rows.sparkSession)
+    rows.withColumn("event_date", F.to_date(AT)).write.partitionBy("event_date").parquet(path)
+    return path
+
+
+def _merge_days(spark, sf_dir, path: str, flag: str, *days: date) -> DataFrame:
+    """The history after merging a flag, one day after the other."""
+    for day in days:
+        rows = transactions(spark, sf_dir).filter((F.to_date(AT) == F.lit(day)) & (F.col(AMOUNT) >= 100))
+        hits = rows.select(REF, F.to_date(AT).alias("event_date"), F.lit(1).cast("tinyint").alias(flag))
+        update_flags(spark, TF_ONLINE, path, hits)
+    return emit(tables.read_history(spark, path, TF_ONLINE.flags))
+
+
+@query
+def flag_merge_evolved(spark, sf_dir):
+    path = _stored(transactions(spark, sf_dir).withColumn("flag_5min", F.col(STATUS)))
+    return _merge_days(spark, sf_dir, path, "flag_10min", date(2024, 1, 15), date(2024, 1, 20))
+
+
+@query
+def flag_merge_boolean(spark, sf_dir):
+    path = _stored(transactions(spark, sf_dir).withColumn("flag_5min", F.col(AMOUNT) >= 150))
+    return _merge_days(spark, sf_dir, path, "flag_5min", date(2024, 1, 15), date(2024, 1, 20))
+
+
 @query
 def unflagged_count(spark, sf_dir):
     return flags.unflagged_count(_flagged_history(spark, sf_dir), _hits(spark, sf_dir), "flag")
@@ -460,30 +488,52 @@ def family_refs(spark, sf_dir):
 # Table maintenance
 
 
-def _family() -> Family:
-    rules = tuple(tuned(rule.name) for rule in TF_ONLINE.rules)
-    return replace(TF_ONLINE, categories=("click", "purchase", "signup", "view"), rules=rules)
+RUNS = ((date(2024, 1, 20), 20), (AS_OF, 16))
+MERGE_DAYS = 5
+
+
+def _family(base: Family = TF_ONLINE, **changes) -> Family:
+    rules = tuple(tuned(rule.name) for rule in base.rules)
+    categories = ("click", "purchase", "signup", "view")
+    return replace(base, categories=categories, rules=rules, **changes)
+
+
+def _runs(spark, sf_dir, family: Family, outputs: bool) -> DataFrame:
+    """The history after two runs of the family on overlapping drops."""
+    source, path = write_drops(transactions(spark, sf_dir)), shared_folder(spark)
+    for day, n_days in RUNS:
+        run_family(spark, family, source, f"{path}/history", path, day, n_days, outputs=outputs)
+    return emit(tables.read_table(spark, f"{path}/history"))
 
 
 @query
 def ingest_append(spark, sf_dir):
     source, path = write_drops(transactions(spark, sf_dir)), shared_folder(spark)
-    ingest(spark, _family(), source, path, date(2024, 1, 20), n_days=20)
-    ingest(spark, _family(), source, path, AS_OF, n_days=16)
+    for day, n_days in RUNS:
+        ingest(spark, _family(), source, path, day, n_days=n_days)
     return emit(tables.read_table(spark, path))
 
 
 @query
 def family_pipeline(spark, sf_dir):
-    source, path = write_drops(transactions(spark, sf_dir)), shared_folder(spark)
-    for day, n_days in ((date(2024, 1, 20), 20), (AS_OF, 16)):
-        run_family(spark, _family(), source, f"{path}/history", path, day, n_days)
-    return emit(tables.read_table(spark, f"{path}/history"))
+    return _runs(spark, sf_dir, _family(), outputs=True)
 
 
 @query
 def family_pipeline_refs(spark, sf_dir):
-    source, path = write_drops(transactions(spark, sf_dir)), shared_folder(spark)
-    for day, n_days in ((date(2024, 1, 20), 20), (AS_OF, 16)):
-        run_family(spark, _family(), source, f"{path}/history", path, day, n_days, outputs=False)
-    return emit(tables.read_table(spark, f"{path}/history"))
+    return _runs(spark, sf_dir, _family(), outputs=False)
+
+
+@query
+def family_pipeline_ccw(spark, sf_dir):
+    return _runs(spark, sf_dir, _family(CCW, merge_days=MERGE_DAYS), outputs=True)
+
+
+@query
+def family_pipeline_ccw_refs(spark, sf_dir):
+    return _runs(spark, sf_dir, _family(CCW, merge_days=MERGE_DAYS), outputs=False)
+
+
+@query
+def family_pipeline_position(spark, sf_dir):
+    return _runs(spark, sf_dir, _family(LISTRIK), outputs=True)

@@ -36,8 +36,13 @@ def rows_not_in(rows: DataFrame, other: DataFrame, key: str = REF) -> DataFrame:
 
 
 def new_keys(unique: DataFrame, other: DataFrame, key: str = REF) -> DataFrame:
-    """The same for rows that are clustered by a unique key: no further shuffle of them."""
-    known = other.select(key).filter(F.col(key).isNotNull()).distinct()
+    """The same for rows with a unique key, of which there are few beside the other table.
+
+    Only keys of the other table that the rows have as well are kept before anything is
+    compared, so a large table is filtered while it is scanned (by broadcast or a run-time
+    filter) instead of being shuffled and made distinct.
+    """
+    known = other.select(key).join(unique.select(key), key, "left_semi")
     return unique.join(known, key, "left_anti").select(unique.columns)
 
 

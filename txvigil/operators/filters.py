@@ -24,9 +24,12 @@ def filter_eligible(
     )
 
 
-def since(as_of: date, n_days: int, at: str = AT) -> Column:
-    """On or after the day ``n_days`` before ``as_of``: n_days + 1 calendar days in all."""
-    midnight = datetime.combine(as_of - timedelta(days=n_days), time())
+def since(as_of: date, n_days: int, at: str = AT, warmup: timedelta = timedelta()) -> Column:
+    """On or after the day ``n_days`` before ``as_of``: n_days + 1 calendar days in all.
+
+    With ``warmup`` so much earlier.
+    """
+    midnight = datetime.combine(as_of - timedelta(days=n_days), time()) - warmup
     return F.col(at) >= F.lit(midnight.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
@@ -35,15 +38,18 @@ def between_hours(first: int, last: int, at: str = AT) -> Column:
     return F.hour(at).between(first, last)
 
 
-def filter_cutoff(rows: DataFrame, as_of: date, n_days: int, at: str = AT) -> DataFrame:
-    """Rows of the lookback period, with their calendar day.
+def filter_cutoff(
+    rows: DataFrame, as_of: date, n_days: int, at: str = AT, warmup: timedelta = timedelta()
+) -> DataFrame:
+    """Rows of the lookback period and of the ``warmup`` before it, with their calendar day.
 
     Compares the timestamp itself, which reaches the Parquet statistics, and the partition
     column where the table has one.
     """
-    kept = rows.filter(since(as_of, n_days, at))
+    kept = rows.filter(since(as_of, n_days, at, warmup))
     if EVENT_DATE in rows.columns:
-        kept = kept.filter(F.col(EVENT_DATE) >= F.lit(as_of - timedelta(days=n_days)))
+        first = (datetime.combine(as_of - timedelta(days=n_days), time()) - warmup).date()
+        kept = kept.filter(F.col(EVENT_DATE) >= F.lit(first))
     return kept.withColumn(DAY, F.to_date(at))
 
 

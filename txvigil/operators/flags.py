@@ -23,6 +23,11 @@ def normalise_flags(rows: DataFrame, flags: Sequence[str]) -> DataFrame:
     return rows.withColumns({f: F.col(f).cast(FLAG_TYPE) for f in boolean})
 
 
+def fill_flags(rows: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Takes a flag that is null, as where a part of a table lacks the column, for 0."""
+    return rows.withColumns({f: F.coalesce(f, F.lit(0)).cast(FLAG_TYPE) for f in flags})
+
+
 def set_flag(rows: DataFrame, flag: str = FLAG) -> DataFrame:
     """Adds or replaces the flag by 1."""
     return rows.withColumn(flag, F.lit(1).cast(FLAG_TYPE))

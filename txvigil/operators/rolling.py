@@ -222,8 +222,13 @@ def burst_rows(rows: DataFrame, span: timedelta, at_least: int, **options) -> Da
     return found.select(*rows.columns, "rolling_count", "transaction_date_right", "t_start")
 
 
-def sum_by_ref(rows: DataFrame, span: timedelta, **options) -> DataFrame:
-    """Trailing amounts per reference number; those of a repeated number add up."""
+def sum_by_ref(
+    rows: DataFrame, span: timedelta, counted: Column | None = None, **options
+) -> DataFrame:
+    """Trailing amounts per reference number; those of a repeated number add up.
+
+    Rows that are not ``counted`` are only in the totals of others.
+    """
     summed = rolling_sum(rows.select(AT, ACCOUNT, REF, AMOUNT), span, **options)
-    keyed = summed.filter(F.col(REF).isNotNull())
+    keyed = summed.filter(F.col(REF).isNotNull() & (F.lit(True) if counted is None else counted))
     return per_key(keyed, [REF], F.sum("rolling_sum").alias("rolling_sum"))

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from txvigil.operators.deltas import append_delta, new_keys, per_key
-from txvigil.operators.filters import filter_eligible, since
+from txvigil.operators.filters import filter_cutoff, filter_eligible, since
 from txvigil.operators.flags import add_missing_flags, merge_flags
-from txvigil.operators.keys import dedupe
+from txvigil.operators.keys import dedupe, semi_by_keys
 from txvigil.plans.families import Family
 from txvigil.plans.rules import Rule, evaluate, flagged_refs
-from txvigil.schema import AT, EVENT_DATE, FLAG_TYPE, REF
+from txvigil.schema import ACCOUNT, AT, DAY, EVENT_DATE, FLAG_TYPE, REF
 from txvigil.sources.drops import Drops, read_daily_drops
+from txvigil.sources.files import remove, shared_folder
 from txvigil.sources.tables import (
     append_history,
     read_history,
@@ -59,10 +60,14 @@ def ingest(
     The history wins over a drop, and of a number that repeats within the drops the first
     transaction is taken. Transactions without a number could never be recognised as known
     and would come again with every run; they go to ``rejects_path`` instead. Only the new
-    rows are written, unless the history still lacks flags or has Boolean ones.
+    rows are written, unless the history still has Boolean flags.
     """
     daily = read_daily_drops(
-        spark, drops, as_of, n_days or family.n_days, by_position=family.by_position
+        spark,
+        drops,
+        as_of,
+        family.n_days if n_days is None else n_days,
+        by_position=family.by_position,
     )
     if daily is None:
         log.warning("%s: no drops, history left as it is", family.name)
@@ -82,7 +87,7 @@ def ingest(
         extra = set(fresh.columns) ^ (set(history.columns) - {EVENT_DATE})
         if extra:
             raise ValueError(f"columns of drops and history differ: {sorted(extra)}")
-        if stored.schema == history.schema:
+        if not boolean_flags(stored, family.flags):
             added = append_history(fresh, history_path)
         else:
             known = stored.count()
@@ -113,57 +118,76 @@ def output_refs(
     outputs: Mapping[str, str],
     as_of: date | None = None,
     n_days: int | None = None,
+    dated: bool = False,
 ) -> DataFrame | None:
     """Reference numbers in rule outputs, given as flag -> path, with one column per flag.
 
-    With ``n_days`` only those of transactions in the lookback period count. Outputs that
-    do not exist are left out; None if there is none.
+    With ``n_days`` only those of transactions in the lookback period count; with ``dated``
+    there is a row per number and day. Outputs that do not exist are left out; None if there
+    is none.
     """
+    keys = [REF, EVENT_DATE] if dated else [REF]
     parts = []
     for flag, path in outputs.items():
         if not table_exists(spark, path):
             log.warning("no output %s", path)
             continue
-        rows = read_table(spark, path)
+        rows = read_table(spark, path).withColumn(EVENT_DATE, F.to_date(AT))
         if n_days is not None:
             rows = rows.filter(since(as_of, n_days))
         hits = {f: F.lit(int(f == flag)).cast(FLAG_TYPE).alias(f) for f in outputs}
-        parts.append(rows.filter(F.col(REF).isNotNull()).select(REF, *hits.values()))
+        parts.append(rows.filter(F.col(REF).isNotNull()).select(*keys, *hits.values()))
     if not parts:
         return None
     hits = reduce(DataFrame.unionByName, parts)
-    return per_key(hits, [REF], *[F.max(f).alias(f) for f in outputs])
+    return per_key(hits, keys, *[F.max(f).alias(f) for f in outputs])
 
 
 def update_flags(spark: SparkSession, family: Family, history_path: str, hits: DataFrame) -> int:
     """Merges flags into the history; returns how many transactions got a new one.
 
-    Only days with such a transaction are rewritten, none if there is no such transaction.
-    ``hits`` is read twice and should come from a table.
+    ``hits`` says on which days its reference numbers are; only these days are read, and of
+    them only those written that get a new flag. A history that stores Boolean flags is
+    written anew as a whole. ``hits`` is read more than once and should come from a table.
     """
     flags = [f for f in family.flags if f in hits.columns]
+    boolean = boolean_flags(read_table(spark, history_path), family.flags)
     history = read_history(spark, history_path, family.flags)
-    merged = merge_flags(history, hits, flags)
+    if not boolean:
+        history = history.filter(on_days(hits.select(EVENT_DATE).distinct().collect()))
+    hits = per_key(hits, [REF], *[F.max(f).alias(f) for f in flags])
 
-    before = history.select(REF, EVENT_DATE, *flags).filter(F.col(REF).isNotNull())
     news = F.lit(False)
     for flag in flags:
         news = news | ((F.col(f"_new_{flag}") == 1) & (F.col(flag) == 0))
     renamed = hits.select(REF, *[F.col(f).alias(f"_new_{f}") for f in flags])
+    before = history.select(REF, EVENT_DATE, *flags).filter(F.col(REF).isNotNull())
     per_day = (
         before.join(renamed, REF).filter(news).groupBy(EVENT_DATE).agg(F.count("*").alias("rows"))
     ).collect()
     if not per_day:
         log.info("%s: no new flags", family.name)
         return 0
-    days = [row[EVENT_DATE] for row in per_day if row[EVENT_DATE] is not None]
-    touched = F.col(EVENT_DATE).isin(days)
-    if len(days) < len(per_day):
-        touched = touched | F.col(EVENT_DATE).isNull()
-    replace_days(merged.filter(touched), history_path)
+    if boolean:
+        replace_history(merge_flags(history, hits, flags), history_path)
+    else:
+        touched = history.filter(on_days(per_day))
+        replace_days(merge_flags(touched, hits, flags), history_path)
     return sum(row["rows"] for row in per_day)
 
 
+def boolean_flags(rows: DataFrame, flags: Sequence[str]) -> bool:
+    """Whether a stored table has any of its flags as a Boolean column."""
+    return any(f in rows.columns and dict(rows.dtypes)[f] == "boolean" for f in flags)
+
+
+def on_days(rows: list[Row]) -> Column:
+    """Whether a row is on one of the days, one row of a list each."""
+    days = [row[EVENT_DATE] for row in rows]
+    chosen = F.col(EVENT_DATE).isin([day for day in days if day is not None])
+    return chosen | F.col(EVENT_DATE).isNull() if None in days else chosen
+
+
 def run_family(
     spark: SparkSession,
     family: Family,
@@ -177,24 +201,38 @@ def run_family(
 ) -> dict[str, int]:
     """Ingest, then all rules, then one merge of all their flags.
 
-    With ``outputs`` every rule leaves its flagged transactions in ``output_folder``; without,
-    only reference numbers are computed, for all rules in one pass.
+    One pass over the few columns that rules need finds the flagged reference numbers of all
+    rules. With ``outputs`` every rule also leaves its flagged transactions in
+    ``output_folder``: a rule looks at one account at a time, so only the transactions of
+    accounts with a flagged number are read in full, once for all rules.
     """
     ingested = ingest(spark, family, drops, history_path, as_of, n_days, rejects_path)
     report = {"added": ingested.added}
     if not table_exists(spark, history_path):
         return report
+    history = read_history(spark, history_path, family.flags)
+    path = f"{output_folder}/{family.name}_refs"
+    replace_table(flagged_refs(family.rules, history, as_of, where=True), path)
+    found = read_table(spark, path)
     if outputs:
+        accounts = found.select(F.explode("accounts").alias(ACCOUNT)).distinct()
+        lookbacks = [rule.lookback for rule in family.rules]
+        if None not in lookbacks:
+            history = filter_cutoff(history, as_of, max(lookbacks)).drop(DAY)
+        suspects = shared_folder(spark)
+        replace_table(semi_by_keys(history, accounts, [ACCOUNT]), suspects)
+        history = read_table(spark, suspects)
         paths = {rule.flag: f"{output_folder}/{rule.name}" for rule in family.rules}
         for rule in family.rules:
-            report[rule.flag] = run_rule(
-                spark, rule, family, history_path, paths[rule.flag], as_of
-            )
-        hits = output_refs(spark, paths, as_of, family.merge_days)
+            flagged = evaluate(rule, history, as_of, family.flags)
+            report[rule.flag] = replace_table(flagged, paths[rule.flag])
+        remove(spark, suspects)
+        hits = output_refs(spark, paths, as_of, family.merge_days, dated=True)
     else:
-        history = read_history(spark, history_path, family.flags)
-        path = f"{output_folder}/{family.name}_refs"
-        replace_table(flagged_refs(family.rules, history, as_of), path)
-        hits = read_table(spark, path)
+        hits = found.filter(F.col(REF).isNotNull()).withColumn(EVENT_DATE, F.explode("dates"))
+        if family.merge_days is not None:
+            first = F.lit(as_of - timedelta(days=family.merge_days))
+            hits = hits.filter(F.col(EVENT_DATE) >= first)
+        hits = hits.drop("dates", "accounts")
     report["updated"] = update_flags(spark, family, history_path, hits)
     return report

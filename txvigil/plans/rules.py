@@ -35,10 +35,12 @@ class Rule:
     lookback: int | None = None
     hours: tuple[int, int] | None = None
 
-    def select(self, history: DataFrame, as_of: date) -> DataFrame:
+    def select(
+        self, history: DataFrame, as_of: date, warmup: timedelta = timedelta()
+    ) -> DataFrame:
         rows = history
         if self.lookback is not None:
-            rows = filter_cutoff(rows, as_of, self.lookback)
+            rows = filter_cutoff(rows, as_of, self.lookback, warmup=warmup)
         if self.hours is not None:
             rows = filter_hours(rows, *self.hours)
         return rows
@@ -72,25 +74,35 @@ def evaluate(
     history: DataFrame,
     as_of: date,
     flags: Sequence[str] = (),
+    warmup: bool = False,
 ) -> DataFrame:
     """The flagged transactions, without the history's own ``flags``.
 
-    An empty result has the same columns and types as any other.
+    An empty result has the same columns and types as any other. With ``warmup`` the span
+    before the lookback is read too, so that its first rows see a whole window; rows of that
+    time are never flagged themselves.
     """
-    rows = rule.select(history, as_of).drop(*flags, EVENT_DATE)
+    early = rule.span if warmup else timedelta()
+    rows = rule.select(history, as_of, early).drop(*flags, EVENT_DATE)
+    counted = F.lit(True) if rule.lookback is None else since(as_of, rule.lookback)
     if isinstance(rule, BurstRule):
-        inside = burst_rows(rows, rule.span, rule.at_least)
+        inside = burst_rows(rows, rule.span, rule.at_least).filter(counted)
         return set_flag(dedupe(inside, REF, [AT, "transaction_date_right"]))
-    sums = sum_by_ref(rows, rule.span)
+    sums = sum_by_ref(rows, rule.span, counted)
     above = sums.filter(F.col("rolling_sum") >= rule.at_least).select(REF)
-    return set_flag(placed(rows).join(above, REF, "left_semi").select(rows.columns))
+    found = placed(rows).filter(counted).join(above, REF, "left_semi")
+    return set_flag(found.select(rows.columns))
 
 
-def flagged_refs(rules: Sequence[Rule], history: DataFrame, as_of: date) -> DataFrame:
+def flagged_refs(
+    rules: Sequence[Rule], history: DataFrame, as_of: date, where: bool = False
+) -> DataFrame:
     """Reference numbers that any of the rules flags, with one 0/1 column per rule.
 
     All rules share one scan and one shuffle by account of just the columns they need: a
-    row outside a rule's period or hours adds nothing to that rule's total.
+    row outside a rule's period or hours adds nothing to that rule's total. With ``where``
+    there are also the ``dates`` and ``accounts`` of the number's transactions, and one row for
+    transactions without number.
     """
     lookbacks = [rule.lookback for rule in rules]
     if None not in lookbacks:
@@ -111,5 +123,10 @@ def flagged_refs(rules: Sequence[Rule], history: DataFrame, as_of: date) -> Data
     if any(isinstance(rule, SumRule) for rule in rules):
         columns.append(AMOUNT)
     rolled = trailing(history.select(columns), totals, bursts)
-    per_ref = per_key(rolled.filter(F.col(REF).isNotNull()), [REF], *hits)
+    if where:
+        hits.append(F.collect_set(F.to_date(AT)).alias("dates"))
+        hits.append(F.collect_set(ACCOUNT).alias("accounts"))
+    else:
+        rolled = rolled.filter(F.col(REF).isNotNull())
+    per_ref = per_key(rolled, [REF], *hits)
     return per_ref.filter(F.greatest(*[F.col(r.flag) for r in rules], F.lit(0)) == 1)

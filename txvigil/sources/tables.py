@@ -1,50 +1,96 @@
-"""Stored tables: Parquet folders, a history among them partitioned by day.
+"""Stored tables: Parquet folders with versions, a history among them partitioned by day.
 
-A table is never overwritten in place. New content is written beside it and then renamed
-into its place; what it replaces waits in ``<table>.old`` or, if only some days are replaced, in
-``<table>.days`` until that is done. The two renames are not one atomic step: a reader may find a partition missing in between, and
-after a crash ``recover`` puts back what is missing. One writer at a time.
+A table ``t`` holds folders ``v=<id>``, one per write, and the file ``_current``, which lists the
+folders that make up the table now (for a history ``v=<id>/event_date=<day>``) and its columns.
+A write adds a folder and then replaces that one small file, so a reader finds the whole old
+table or the whole new one and never changes anything. One writer at a time: a write begins
+by removing what neither the current nor the previous list names, such as the folder of a run
+that was cut short. A reader may thus finish on the table that the last write has replaced,
+but not on one before.
+
+A folder without ``_current`` is read as plain Parquet; its first change writes it as a version.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from txvigil.operators.flags import add_missing_flags, normalise_flags
+from txvigil.operators.flags import add_missing_flags, fill_flags, normalise_flags
 from txvigil.schema import ACCOUNT, AT, EVENT_DATE
-from txvigil.sources.files import children, exists, move, remove
+from txvigil.sources.files import children, exists, read_text, remove, replace_text
+
+_POINTER, _VERSION = "_current", "v"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    recover(spark, path)
-    return exists(spark, path)
+    return _pointer(spark, path) is not None or _plain(spark, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    recover(spark, path)
-    return spark.read.parquet(path)
+    """The table as it is now; columns that older parts lack are null there."""
+    pointer = _pointer(spark, path)
+    if pointer is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    schema = T.StructType.fromJson(pointer["schema"])
+    if not pointer["parts"]:
+        return spark.createDataFrame([], schema)
+    # Only folders that are listed are read; they are told by the first part of their name.
+    typed = T.StructType([*schema.fields, T.StructField(_VERSION, T.StringType())])
+    rows = spark.read.schema(typed).option("basePath", path)
+    rows = rows.parquet(*[f"{path}/{part}" for part in pointer["parts"]])
+    return rows.select(*schema.names)
 
 
 def read_history(spark: SparkSession, path: str, flags: list[str]) -> DataFrame:
-    """History with all its flags as 0/1."""
-    return add_missing_flags(normalise_flags(read_table(spark, path), flags), flags)
+    """History with all its flags as 0/1, also where a part or the whole lacks them."""
+    rows = normalise_flags(read_table(spark, path), flags)
+    return fill_flags(add_missing_flags(rows, flags), flags)
+
+
+def _pointer(spark: SparkSession, path: str) -> dict | None:
+    text = read_text(spark, f"{path}/{_POINTER}")
+    return None if text is None else json.loads(text)
+
 
+def _plain(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder that other means have written, not just a first try of ours."""
+    if not exists(spark, path):
+        return False
+    names = children(spark, path, folders=False)
+    return any(not name.startswith((f"{_VERSION}=", "_", ".")) for name in names)
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Ends a replacement that was cut short: puts back what has no successor yet."""
-    old, days = _old(path), _old_days(path)
-    if exists(spark, old):
+
+def _publish(
+    spark: SparkSession, path: str, parts: list[str], schema: T.StructType, before: dict | None
+) -> None:
+    pointer = {"parts": parts, "schema": schema.jsonValue(), "before": []}
+    if before is not None:
+        pointer["before"] = before["parts"]
+    replace_text(spark, f"{path}/{_POINTER}", json.dumps(pointer))
+
+
+def _tidy(spark: SparkSession, path: str) -> dict | None:
+    """Removes versions and days that no list names any more; returns the current list."""
+    pointer = _pointer(spark, path)
+    if pointer is None:
         if exists(spark, path):
-            remove(spark, old)
-        else:
-            move(spark, old, path)
-    if exists(spark, days):
-        for day in children(spark, days):
-            if not exists(spark, f"{path}/{day}"):
-                move(spark, f"{days}/{day}", f"{path}/{day}")
-        remove(spark, days)
+            for name in children(spark, path):
+                if name.startswith(f"{_VERSION}="):
+                    remove(spark, f"{path}/{name}")
+        return None
+    named = {*pointer["parts"], *pointer["before"]}
+    versions = {part.split("/")[0] for part in named}
+    for name in children(spark, path):
+        if name.startswith(f"{_VERSION}=") and name not in versions:
+            remove(spark, f"{path}/{name}")
+        elif name in versions and name not in named:
+            for day in children(spark, f"{path}/{name}"):
+                if f"{name}/{day}" not in named:
+                    remove(spark, f"{path}/{name}/{day}")
+    return pointer
 
 
 def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
@@ -57,91 +103,119 @@ def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
     return rows.observe(written, F.count("*").alias("rows")), written
 
 
-def write_table(rows: DataFrame, path: str, mode: str = "errorifexists") -> int:
-    """Zstandard Parquet; Spark names each file uniquely, so appends never collide.
+def _version() -> str:
+    return f"{_VERSION}={uuid.uuid4().hex}"
 
-    This and the other writers return the number of rows.
-    """
-    rows, written = _counted(rows)
-    rows.write.mode(mode).option("compression", "zstd").parquet(path)
-    return written.get["rows"]
 
-
-def append_table(rows: DataFrame, path: str) -> int:
-    return write_table(rows, path, "append")
+def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
+    """Columns of both; a column that both have must have the same type."""
+    known = {field.name: field for field in old.fields}
+    for field in new.fields:
+        if field.name in known and known[field.name].dataType != field.dataType:
+            raise ValueError(f"column {field.name} is {known[field.name].dataType.simpleString()}")
+    return T.StructType([*old.fields, *[f for f in new.fields if f.name not in known]])
 
 
-def replace_table(rows: DataFrame, path: str) -> int:
-    """Replaces the whole table, also by rows that are computed from it."""
-    spark = rows.sparkSession
-    recover(spark, path)
-    staged = _staged(path)
-    written = write_table(rows, staged)
-    _swap(spark, staged, path)
-    return written
+def _write(rows: DataFrame, path: str) -> tuple[str, int]:
+    """A new version of plain rows: its folder and the number of rows."""
+    version = _version()
+    rows, written = _counted(rows)
+    rows.write.option("compression", "zstd").parquet(f"{path}/{version}")
+    return version, written.get["rows"]
 
 
-def write_history(rows: DataFrame, path: str, mode: str = "errorifexists") -> int:
-    """Writes rows by day: pruned by lookback, and rewritten one day at a time.
+def _write_days(rows: DataFrame, path: str) -> tuple[list[str], int, T.StructType]:
+    """A new version of rows by day: its folders, the number of rows and the columns.
 
     Days are balanced before writing, so a large day becomes several files and a small one
     does not become many.
     """
-    dated = rows.withColumn(EVENT_DATE, F.to_date(AT)).hint("rebalance", EVENT_DATE)
+    version = _version()
+    dated = rows.drop(EVENT_DATE).withColumn(EVENT_DATE, F.to_date(AT))
+    schema = dated.schema
+    dated = dated.hint("rebalance", EVENT_DATE)
     rows, written = _counted(dated.sortWithinPartitions(EVENT_DATE, AT, ACCOUNT))
-    rows.write.mode(mode).option("compression", "zstd").partitionBy(EVENT_DATE).parquet(path)
-    return written.get["rows"]
+    rows.write.option("compression", "zstd").partitionBy(EVENT_DATE).parquet(f"{path}/{version}")
+    days = children(rows.sparkSession, f"{path}/{version}")
+    return [f"{version}/{day}" for day in days], written.get["rows"], schema
 
 
-def append_history(rows: DataFrame, path: str) -> int:
-    return write_history(rows, path, "append")
-
+def write_table(rows: DataFrame, path: str) -> int:
+    """A new table; this and the other writers return the number of rows."""
+    if table_exists(rows.sparkSession, path):
+        raise FileExistsError(path)
+    return replace_table(rows, path)
 
-def replace_history(rows: DataFrame, path: str) -> int:
-    """Replaces the whole history, also by rows that are computed from it.
 
-    Without any row there would be no file to tell the schema, so nothing is replaced then.
-    """
+def append_table(rows: DataFrame, path: str) -> int:
     spark = rows.sparkSession
-    recover(spark, path)
-    staged = _staged(path)
-    written = write_history(rows, staged)
-    if written:
-        _swap(spark, staged, path)
+    before = _tidy(spark, path)
+    if before is None and _plain(spark, path):
+        replace_table(read_table(spark, path), path)
+        before = _pointer(spark, path)
+    version, written = _write(rows, path)
+    if before is None:
+        _publish(spark, path, [version], rows.schema, None)
     else:
-        remove(spark, staged)
+        schema = _merged(T.StructType.fromJson(before["schema"]), rows.schema)
+        _publish(spark, path, [*before["parts"], version], schema, before)
     return written
 
 
-def replace_days(rows: DataFrame, path: str) -> int:
-    """Replaces those days of the history that occur in the rows."""
+def replace_table(rows: DataFrame, path: str) -> int:
+    """Replaces the whole table, also by rows that are computed from it."""
     spark = rows.sparkSession
-    recover(spark, path)
-    staged, days = _staged(path), _old_days(path)
-    written = write_history(rows, staged)
-    for day in children(spark, staged):
-        if exists(spark, f"{path}/{day}"):
-            move(spark, f"{path}/{day}", f"{days}/{day}")
-        move(spark, f"{staged}/{day}", f"{path}/{day}")
-    for rest in (staged, days):
-        remove(spark, rest)
+    before = _tidy(spark, path)
+    version, written = _write(rows, path)
+    _publish(spark, path, [version], rows.schema, before)
     return written
 
 
-def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    if exists(spark, path):
-        move(spark, path, _old(path))
-    move(spark, staged, path)
-    remove(spark, _old(path))
+def write_history(rows: DataFrame, path: str) -> int:
+    """A new history: pruned by lookback, and rewritten one day at a time."""
+    if table_exists(rows.sparkSession, path):
+        raise FileExistsError(path)
+    return replace_history(rows, path)
 
 
-def _staged(path: str) -> str:
-    return f"{path.rstrip('/')}.{uuid.uuid4().hex}.tmp"
+def append_history(rows: DataFrame, path: str) -> int:
+    spark = rows.sparkSession
+    before = _versioned(spark, path)
+    parts, written, schema = _write_days(rows, path)
+    if before is not None:
+        schema = _merged(T.StructType.fromJson(before["schema"]), schema)
+        parts = [*before["parts"], *parts]
+    _publish(spark, path, parts, schema, before)
+    return written
 
 
-def _old(path: str) -> str:
-    return f"{path.rstrip('/')}.old"
+def replace_history(rows: DataFrame, path: str) -> int:
+    """Replaces the whole history, also by rows that are computed from it."""
+    spark = rows.sparkSession
+    before = _tidy(spark, path)
+    parts, written, schema = _write_days(rows, path)
+    _publish(spark, path, parts, schema, before)
+    return written
+
+
+def replace_days(rows: DataFrame, path: str) -> int:
+    """Replaces those days of the history that occur in the rows."""
+    spark = rows.sparkSession
+    before = _versioned(spark, path)
+    if before is None:
+        return replace_history(rows, path)
+    parts, written, schema = _write_days(rows, path)
+    days = {part.split("/")[1] for part in parts}
+    kept = [part for part in before["parts"] if part.split("/")[1] not in days]
+    schema = _merged(T.StructType.fromJson(before["schema"]), schema)
+    _publish(spark, path, [*kept, *parts], schema, before)
+    return written
 
 
-def _old_days(path: str) -> str:
-    return f"{path.rstrip('/')}.days"
+def _versioned(spark: SparkSession, path: str) -> dict | None:
+    """The current list of a history, after writing plain Parquet as a version."""
+    before = _tidy(spark, path)
+    if before is None and _plain(spark, path):
+        replace_history(read_table(spark, path), path)
+        before = _pointer(spark, path)
+    return before
