@@ -14,8 +14,9 @@ Documents are compared only if they agree in such a segment:
   found if either of the two has left out no more than it can spare. Documents that would
   have to leave out more keep these segments among each other.
 
-In the large segments that are left all documents are compared with the first one, then
-only those that this has not put into one group. What agrees is verified on the shingles.
+In the large segments that are left all documents are compared with a central one, then
+only those that this has not put into one group, and only if short bit masks do not already
+tell them apart. What agrees is verified on the shingles.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ WORDS = 4
 THRESHOLD = 85
 # Segments of up to this many documents are compared in full.
 BUCKET = 8
+MASK = 1024
 
 # Odd numbers with well spread bits.
 _ODD = np.array(
@@ -314,11 +316,41 @@ def verified(
     return stored(sides.select("a", "b", "a_text", "b_text").mapInArrow(work, "a long, b long"))
 
 
+def masks(nodes: DataFrame, used: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(node, mask): which of ``MASK`` bits an odd number of the shingles of a set falls on.
+
+    Two sets differ in at least as many shingles as their masks differ in bits.
+    """
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for part in parts:
+            rows: list[np.ndarray] = []
+            for text in part.column(1):
+                found = shingles.of(text.as_py())
+                odd = np.bincount((found % np.uint64(MASK)).astype(np.int64), minlength=MASK) % 2
+                rows.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(rows, kind)], names=["node", "mask"]
+            )
+
+    named = stored(nodes.select("node", "doc_id").join(beside(used), "node", "left_semi"))
+    texts = docs.select("doc_id", "text").join(beside(named), "doc_id").select("node", "text")
+    found = texts.mapInArrow(work, "node long, mask array<bigint>")
+    return stored(found.groupBy("node").agg(F.first("mask").alias("mask")))
+
+
 def near(a: str, b: str, threshold: int):
+    """What can be said of two members of a segment before their texts are read."""
     fewer, more = F.least(f"{a}n", f"{b}n"), F.greatest(f"{a}n", f"{b}n")
     either = F.col(f"{a}flags").bitwiseOR(F.col(f"{b}flags")).bitwiseAND(F.lit(_OWN)) > 0
     both = F.col(f"{a}flags").bitwiseAND(F.col(f"{b}flags")).bitwiseAND(F.lit(_DELETED)) == 0
-    return (100 * fewer >= threshold * more) & either & both
+    differ = F.lit(0)
+    for i in range(MASK // 64):
+        differ = differ + F.bit_count(F.col(f"{a}mask")[i].bitwiseXOR(F.col(f"{b}mask")[i]))
+    most = (100 - threshold) * (F.col(f"{a}n") + F.col(f"{b}n"))
+    return (100 * fewer >= threshold * more) & either & both & ((100 + threshold) * differ <= most)
 
 
 def links(
@@ -328,7 +360,7 @@ def links(
 
     Within a group not every link is listed, but none that joins two groups is missing.
     """
-    found = stored(buckets(signed(docs.select("text"), words, threshold), threshold, bucket))
+    found = stored(buckets(signed(docs.select("text"), words, threshold), threshold, bucket), free=True)
     pairs = stored(found.filter("key IS NULL").select("a", "b").distinct())
     large = found.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "n", "flags")
     large = large.distinct()
@@ -343,15 +375,27 @@ def links(
     needs = needs.filter("units > spare").select("node", "own")
     hard = large.withColumn("own", own).join(beside(stored(needs)), ["node", "own"], "left_semi")
     hard = stored(hard.drop("own"))
-    hubs = hard.groupBy("key").agg(F.min(F.struct("node", "n", "flags")).alias("hub"))
-    hubs = hubs.select("key", *[F.col(f"hub.{c}").alias(f"a_{c}") for c in ("node", "n", "flags")])
-    others = hard.select("key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "flags")])
+    used = stored(hard.select("node").distinct())
+    hard = stored(hard.join(masks(nodes, used, docs, words), "node"))
+    fields = ("node", "n", "flags", "mask")
+
+    # The hub of a segment is its member whose segments are shared most: the least edited.
+    counts = hard.groupBy("key").agg(F.count("*").alias("members"))
+    ranks = hard.select("key", "node").join(counts, "key")
+    ranks = ranks.groupBy("node").agg(F.sum("members").alias("rank"))
+    hubs = hard.join(ranks, "node").groupBy("key").agg(
+        F.max_by(F.struct(*fields), F.struct("rank", "node")).alias("hub")
+    )
+    hubs = hubs.select("key", *[F.col(f"hub.{c}").alias(f"a_{c}") for c in fields])
+    others = hard.select("key", *[F.col(c).alias(f"b_{c}") for c in fields])
 
     def between(rows: DataFrame) -> DataFrame:
-        rows = rows.filter(near("a_", "b_", threshold) & (F.col("a_node") < F.col("b_node")))
-        return rows.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+        rows = rows.filter(near("a_", "b_", threshold))
+        return rows.select(
+            F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")
+        ).distinct()
 
-    star = between(others.join(hubs, "key"))
+    star = between(others.join(hubs, "key").filter("a_node <> b_node"))
     pairs = stored(pairs.union(star).distinct())
     linked = verified(pairs, nodes, docs, words, threshold)
 
@@ -362,10 +406,10 @@ def links(
     mixed = stored(mixed.filter("x <> y").select("key"))
     parted = stored(parted.join(beside(mixed), "key", "left_semi"))
     a, b = (
-        parted.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "flags", "part")])
+        parted.select("key", *[F.col(c).alias(f"{s}_{c}") for c in (*fields, "part")])
         for s in ("a", "b")
     )
-    rest = between(a.join(b, "key").filter("a_part <> b_part")).distinct()
+    rest = between(a.join(b, "key").filter("a_node < b_node AND a_part <> b_part"))
     rest = stored(rest.join(pairs, ["a", "b"], "left_anti"))
     return stored(linked.union(verified(rest, nodes, docs, words, threshold)))
 
