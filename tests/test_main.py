@@ -39,4 +39,5 @@ def test_wrong_arguments(argv):
 
 def test_settings_grow_with_the_data():
     partitions = [int(settings(n, 8)["spark.sql.shuffle.partitions"]) for n in (1 << 20, 1 << 40, 1 << 50)]
-    assert partitions == [24, 4096, 100_000]
+    assert partitions == [24, 1 << 12, 1 << 22]
+    assert settings(1 << 50, 8, 1 << 30)["spark.sql.shuffle.partitions"] == str(1 << 20)

@@ -16,7 +16,9 @@ from pyspark.sql import SparkSession
 
 from txvigil.plans.families import FAMILIES, RULES
 from txvigil.plans.jobs import ingest, output_refs, run_family, run_rule, update_flags
+from txvigil.session import settings
 from txvigil.sources.drops import Drops
+from txvigil.sources.files import size
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -34,6 +36,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--refs-only", action="store_true", help="run: no outputs, all rules in one pass"
     )
+    parser.add_argument(
+        "--cores", type=int, help="executor cores, default what the session starts with"
+    )
     options = parser.parse_args(argv)
     known = RULES if options.command == "rule" else FAMILIES
     if options.name not in known:
@@ -49,6 +54,12 @@ def main(argv: list[str] | None = None) -> None:
     options = arguments(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName(f"txvigil {options.command} {options.name}").getOrCreate()
+    read = [path for path in (options.history, options.drops) if path]
+    cores = options.cores or spark.sparkContext.defaultParallelism
+    given = spark.sparkContext.getConf()
+    for key, value in settings(sum(size(spark, path) for path in read), cores).items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
     if options.command == "rule":
         rule = RULES[options.name]
         family = next(f for f in FAMILIES.values() if rule in f.rules)
