@@ -259,18 +259,21 @@ def removed_spans(docs: DataFrame) -> DataFrame:
 
     marks = first.mapInArrow(_marked, "anchor long, doc long, row long")
     marks = marks.repartition(partitions, "anchor").sortWithinPartitions("anchor", "doc")
-    shared = stored(marks.mapInArrow(_shared, "row long, anchor long"))
+    shared = stored(marks.mapInArrow(_shared, "row long, anchor long"), free=True)
     wanted = shared.groupBy("row").agg(F.collect_list("anchor").alias("wanted"))
     around = first.join(wanted, "row").select("doc", "row", "text", "wanted")
     around = stored(
-        around.mapInArrow(_around, "anchor long, doc long, row long, start long, end long, context binary")
+        around.mapInArrow(
+            _around, "anchor long, doc long, row long, start long, end long, context binary"
+        ),
+        free=True,
     )
     dealt = around.filter("context IS NOT NULL").select("anchor", "doc", "row", "start", "context")
     dealt = dealt.repartition(partitions, "anchor").sortWithinPartitions("anchor")
     found = dealt.mapInArrow(_sorted, "row long, start long, end long")
     found = found.union(around.filter("context IS NULL").select("row", "start", "end")).union(whole)
     found = found.repartition(partitions, "row").sortWithinPartitions("row")
-    return stored(found.mapInArrow(_merged, "row long, spans binary"))
+    return stored(found.mapInArrow(_merged, "row long, spans binary"), free=True)
 
 
 def deduped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
