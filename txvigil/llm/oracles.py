@@ -183,3 +183,73 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
   sha256(coalesce(rest, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLES["op2_ngram_jaccard"] = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, {_LOWER}), '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents
+), shingled AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(
+    [array_to_string(words[i:i + 3], ' ') FOR i IN range(1, greatest(len(words) - 3, 1) + 1)]) END AS s
+  FROM worded
+), spread AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM shingled
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM spread a JOIN spread b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM shingled
+  UNION SELECT doc_id, b FROM reached JOIN links ON other = a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM shingled
+JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+"""
+
+ORACLES["op3_prefix_tree"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    -- '### ' and ': ' around the role, '</turn>' and a line break, a backslash per mark
+    sum(14 + length(role) + length(text) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+      + length(regexp_replace(text, '[^\\#<]', '', 'g'))) AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars FROM whole
+"""
+
+ORACLES["op4_suffix_dedup"] = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+    length(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents
+), starts AS (
+  SELECT r, doc_id, i, substring(h, 2 * i + 1, 100) AS s
+  FROM (SELECT r, doc_id, h, unnest(range(greatest(n - 49, 0))) AS i FROM docs)
+), hits AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS first FROM starts)
+  WHERE doc_id > first
+), marked AS (
+  SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, true)::INT AS opens FROM hits
+), spans AS (
+  SELECT r, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY r ORDER BY i) AS g FROM marked) GROUP BY r, g
+), pieces AS (
+  SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM spans
+), cut AS (
+  SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substring(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+  FROM pieces JOIN docs USING (r) GROUP BY r
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (r)
+"""
