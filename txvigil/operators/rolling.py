@@ -171,8 +171,6 @@ def _moves(
         moves += [move(following, following, enter, over), move(following, end, leave, over)]
         if bursts:
             moves.append(move(previous, end, leave, seen & (end < start + ahead)))
-    moves = F.filter(F.array(*moves), lambda m: m.isNotNull())
-
     kind = F.col(_KIND)
     columns = {
         c: F.when(kind == _OWN, F.col(c)) for c in rows.columns if c not in (account, at)
@@ -185,7 +183,8 @@ def _moves(
             .when(kind == 2 * number + 2, -own)
             .otherwise(F.lit(0))
         )
-    return rows.select("*", F.inline(moves)).withColumns(columns)
+    made = rows.select("*", F.inline(F.array(*moves))).filter(kind.isNotNull())
+    return made.withColumns(columns)
 
 
 def rolling_count(rows: DataFrame, span: timedelta, **options) -> DataFrame:
