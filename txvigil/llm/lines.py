@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txvigil.llm.common import beside, stored
+from txvigil.llm.common import beside, discard, stored
 
 THRESHOLD = 80
 # Entries of the table of word counts. All words are counted, by hash: a rare word may look
@@ -150,27 +150,32 @@ def duplicates(
         F.first(F.struct("n", "bits", "prefix")).alias("signed"),
     )
     once = stored(once.select("h", "g", "place.*", "times", "signed.*"), free=True)
-    sizes = once.select(*_PLACE, "n", "bits")
     # Buckets of one line make no pairs; in the others every line also sees the earliest.
-    rows = once.select(F.explode("prefix").alias("word"), *_PLACE)
+    own = (*_PLACE, "n", "bits")
+    rows = once.select(F.explode("prefix").alias("word"), *own)
     bucket = Window.partitionBy("word")
-    rows = rows.withColumn("hub", F.min(F.struct(*_PLACE)).over(bucket)).withColumn(
+    rows = rows.withColumn("hub", F.min(F.struct(*own)).over(bucket)).withColumn(
         "rows", F.count("*").over(bucket)
     )
-    rows = rows.filter("rows > 1").select("word", *_PLACE, F.col("hub.doc").alias("a_doc"), F.col("hub.line").alias("a_line"))
-    shared = stored(rows.join(sizes, [*_PLACE]), free=True)
-    own = (*_PLACE, "n", "bits")
-    later = shared.withColumnsRenamed({c: f"b_{c}" for c in own})
+    hub = [F.col(f"hub.{c}").alias(f"a_{c}") for c in own]
+    shared = stored(rows.filter("rows > 1").select("word", *own, *hub), free=True)
+    full, once = once, stored(once.drop("prefix"))
+    discard(full)
     earlier = F.struct("a_doc", "a_line") < F.struct("b_doc", "b_line")
-    first = later.join(sizes.toDF("a_doc", "a_line", "a_n", "a_bits"), ["a_doc", "a_line"])
-    first = stored(candidates(first.filter(earlier), threshold))
+    first = shared.withColumnsRenamed({c: f"b_{c}" for c in own}).filter(earlier)
+    first = stored(candidates(first, threshold), free=True)
     gone = verified(first, docs, doc_id, text, threshold)
 
-    left = later.drop("a_doc", "a_line").join(
-        beside(gone.toDF("b_doc", "b_line")), ["b_doc", "b_line"], "left_anti"
-    )
-    others = shared.select("word", *[F.col(c).alias(f"a_{c}") for c in own])
-    more = candidates(left.join(others, "word").filter(earlier), threshold)
+    # Lines that are gone need no further match: as later ones their size is below zero, so
+    # that no size is near it. Both sides of the join are one table and shuffled once.
+    marked = gone.withColumn("gone", F.lit(True))
+    left = shared.select("word", *own).join(beside(marked), [*_PLACE], "left")
+    size = F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n"))
+    left = left.select("word", *_PLACE, size.alias("n"), "bits")
+    pairs = left.alias("a").join(left.alias("b"), F.col("a.word") == F.col("b.word"))
+    pairs = pairs.select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("a", "b") for c in own])
+    pairs = pairs.withColumn("a_n", F.abs("a_n"))
+    more = candidates(pairs.filter(earlier), threshold)
     more = stored(more.join(first, first.columns, "left_anti"), free=True)
     gone = stored(gone.union(verified(more, docs, doc_id, text, threshold)).distinct())
 
