@@ -166,6 +166,21 @@ def test_deletion_neighbourhoods(kind):
         jaccard.allocation = original
 
 
+@pytest.mark.parametrize("size", [6, 15])
+def test_jaccard_links_longer_variants_to_a_shared_base(spark, size):
+    """Variants are like the base but not like each other, and fill its large segments."""
+    dice = random.Random(size)
+    docs = []
+    for base in range(4):
+        words = [f"b{base}w{i}" for i in range(size + 3)]
+        docs += [" ".join(words), " ".join(words)]
+        longer = [[f"x{dice.getrandbits(40)}" for _ in range(1 if size == 6 else 2)] for _ in range(40)]
+        docs += [" ".join(words + more) for more in longer]
+    found = jaccard.grouped(texts(spark, *docs))
+    sets = {i: shingle_set(t, 4) for i, t in enumerate(docs)}
+    assert {r.doc_id: r.component_id for r in found.collect()} == groups(sets, 85)
+
+
 def test_jaccard_of_odd_rows(odd, none):
     rows = jaccard.grouped(odd).collect()
     assert len(rows) == odd.count()

@@ -11,8 +11,8 @@ Documents are compared only if they agree in such a segment:
   there are of either kind is chosen per band for the least expected number of rows;
 - every band has spare segments, so a document may leave out the segments that tell nothing
   or cost most: empty ones, and those that more than ``BUCKET`` documents share. A pair is
-  found if either of the two has left out no more than it can spare. Documents that would
-  have to leave out more keep these segments among each other.
+  found if both have left out no more than they can spare. Documents that would have to
+  leave out more keep these segments, and so do all others that share one with them.
 
 In the large segments that are left all documents are compared with a central one, then
 only those that this has not put into one group, and only if short bit masks do not already
@@ -372,12 +372,16 @@ def links(
         F.when(F.col("flags").bitwiseAND(F.lit(_WIDE)) > 0, 2).otherwise(1)
     )
     needs = large.groupBy("node", own).agg(F.sum(units).alias("units"), F.max(spare).alias("spare"))
-    needs = needs.filter("units > spare").select("node", "own")
-    hard = large.withColumn("own", own).join(beside(stored(needs)), ["node", "own"], "left_semi")
-    hard = stored(hard.drop("own"))
+    needs = needs.filter("units > spare").select("node", "own", F.lit(True).alias("hard"))
+    # A deletion is no loss of its own, so two that can do without are found, but not one of
+    # them by another that cannot: these are compared with all members of their segments.
+    marked = large.withColumn("own", own).join(beside(stored(needs)), ["node", "own"], "left")
+    marked = stored(marked.drop("own").withColumn("hard", F.coalesce("hard", F.lit(False))))
+    keys = stored(marked.filter("hard").select("key").distinct())
+    hard = stored(marked.join(beside(keys), "key", "left_semi"))
     used = stored(hard.select("node").distinct())
     hard = stored(hard.join(masks(nodes, used, docs, words), "node"))
-    fields = ("node", "n", "flags", "mask")
+    fields = ("node", "n", "flags", "mask", "hard")
 
     # The hub of a segment is its member whose segments are shared most: the least edited.
     counts = hard.groupBy("key").agg(F.count("*").alias("members"))
@@ -409,7 +413,8 @@ def links(
         parted.select("key", *[F.col(c).alias(f"{s}_{c}") for c in (*fields, "part")])
         for s in ("a", "b")
     )
-    rest = between(a.join(b, "key").filter("a_node < b_node AND a_part <> b_part"))
+    apart = "a_node < b_node AND a_part <> b_part AND (a_hard OR b_hard)"
+    rest = between(a.join(b, "key").filter(apart))
     rest = stored(rest.join(pairs, ["a", "b"], "left_anti"))
     return stored(linked.union(verified(rest, nodes, docs, words, threshold)))
 
