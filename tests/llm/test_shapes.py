@@ -237,6 +237,18 @@ def test_urls(spark):
     assert urls.judged(pages.filter("false")).collect() == []
 
 
+def test_verdicts_do_not_depend_on_size(spark):
+    """Scores of large inputs are tiny: shares of millions of pages, spread over a thousand hosts."""
+    rows = [("a", "block", 4e-11), ("b", "block", 5e-300), ("b", "allow", 4e-300), ("c", "block", 4e-11),
+            ("c", "allow", 4e-11 * (1 + 1e-13)), ("d", "block", 0.3 * (1 + 1e-13)), ("d", "allow", 0.3),
+            ("e", "allow", 1e-12), ("f", "block", 0.0)]
+    for scale in (1, 1e-6):
+        scaled = [(host, kind, score * scale) for host, kind, score in rows]
+        scores = spark.createDataFrame(scaled, "host string, kind string, score double")
+        found = {r.host: r.blocked for r in urls.host_verdicts(scores).collect()}
+        assert found == {"a": True, "b": True, "c": False, "d": False, "e": False, "f": False}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 99), (99, 98), (50, 51)]
     links = spark.createDataFrame(chain, "a long, b long")

@@ -18,8 +18,9 @@ from txvigil.llm.common import discard, stored
 
 DAMPING = 0.85
 ROUNDS = 10
-# Scores are compared in these units, far above what the order of additions can change.
-DIGITS = 9
+# Distrust has to exceed trust by this share of it, far above what the order of additions can
+# change; scores shrink with the number of pages, so no absolute difference would do.
+MARGIN = 1e-9
 _STORE_EVERY = 5
 
 _URL = r"://([^/?#]*)([^?#]*)"
@@ -142,9 +143,9 @@ def host_verdicts(scores: DataFrame) -> DataFrame:
     """(host, blocked) for every host that anything has reached."""
 
     def of(kind: str) -> Column:
-        return F.round(F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), DIGITS)
+        return F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0))
 
-    return scores.groupBy("host").agg((of("block") > of("allow")).alias("blocked"))
+    return scores.groupBy("host").agg((of("block") > of("allow") * (1 + MARGIN)).alias("blocked"))
 
 
 def judged(
