@@ -52,6 +52,13 @@ def test_copied_articles_stay():
     assert text_of(page, *[page] * 30) == "Same\nCopied text"
 
 
+def test_copies_of_a_page_lose_the_same_blocks():
+    pages = [f"<body><div><p>Brand line</p></div><div><p>Story {i % 5}</p></div>" for i in range(12)]
+    trees = [wrappers.parse(page) for page in pages]
+    wrappers.induce(trees)
+    assert [wrappers.main_text(tree) for tree in trees] == [f"Story {i % 5}" for i in range(12)]
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "http://a.com/x", None, 1), (2, None, "", 1), (3, "no url", "<p>a", 1), (3, "no url", "<p>a", 1),
             (None, "http://a.com/y", "<p>b</p>" * 3, 1), (5, "http://a.com/z", "<" * 5000, 1)]
