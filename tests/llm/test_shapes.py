@@ -59,6 +59,23 @@ def test_copies_of_a_page_lose_the_same_blocks():
     assert [wrappers.main_text(tree) for tree in trees] == [f"Story {i % 5}" for i in range(12)]
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_all_pages_of_a_host_share_one_wrapper(spark, partitions):
+    def page(i):
+        tags = "<p>Rare</p><ul><li>Box" if i % 7 == 3 else ""
+        return f"<body><div><p>Brand line</p></div><section><p>Story {i}</p></section>{tags}"
+
+    rows = [(i, f"http://h{i % 2}.com/{i}", page(i)) for i in range(2 * 67)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+        found = {r.page_id: r.text for r in wrappers.extracted(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == {i: f"Story {i}" for i, _, _ in rows}
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "http://a.com/x", None, 1), (2, None, "", 1), (3, "no url", "<p>a", 1), (3, "no url", "<p>a", 1),
             (None, "http://a.com/y", "<p>b</p>" * 3, 1), (5, "http://a.com/z", "<" * 5000, 1)]
