@@ -52,6 +52,24 @@ def test_copied_articles_stay():
     assert text_of(page, *[page] * 30) == "Same\nCopied text"
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "layout-side", "hidden-xs", "page-form", "sidebar", "widget-area"])
+def test_class_words_do_not_remove_the_article(name):
+    story = "<p>A story of some length</p>"
+    aside = '<div class="sidebar">Ad</div><div id="site-footer">Foot</div>'
+    for around in (f"<article>{story}</article>", f"<main>{story}</main>", story):
+        assert text_of(f'<body><div class="{name}">{around}</div>{aside}') == "A story of some length"
+    for inside in (f'<article><div class="{name}">{story}</div></article>', f'<main><div id="{name}">{story}</div></main>'):
+        assert text_of(f"<body>{inside}{aside}") == "A story of some length"
+    assert text_of(f'<body><article>{story}<div class="sidebar">{story * 3}</div></article>') == "A story of some length"
+
+
+@pytest.mark.parametrize(
+    "icon", ["<svg a='/' />", "<math/>", "<object data='x'>", "<select>", "<svg><path d='x'/><text>t</text></svg>", "<iframe src='x'/>"]
+)
+def test_elements_without_end_take_no_text(icon):
+    assert text_of(f"<body><p>One {icon} two</p><p>three</p>") == "One two\nthree"
+
+
 def test_copies_of_a_page_lose_the_same_blocks():
     pages = [f"<body><div><p>Brand line</p></div><div><p>Story {i % 5}</p></div>" for i in range(12)]
     trees = [wrappers.parse(page) for page in pages]
