@@ -1,14 +1,31 @@
 """Trailing totals and bursts against brute force on random accounts."""
 
+import os
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from txvigil.operators.rolling import Burst, Total, burst_rows, money, rolling_count, trailing
+from txvigil.catalog import QUERIES
+from txvigil.catalog.views import transactions
+from txvigil.operators.rolling import (
+    Burst,
+    Total,
+    _spread,
+    burst_rows,
+    cents,
+    money,
+    rolling_count,
+    rolling_sum,
+    sum_by_ref,
+    trailing,
+)
 from txvigil.plans.rules import BurstRule, SumRule, evaluate, flagged_refs
+from txvigil.schema import ACCOUNT, AMOUNT, AT
 
+FOLDER = "/root/testdata/sf0.001"
 START = datetime(2025, 3, 30)
 SPAN = timedelta(minutes=10)
 TICK = timedelta(microseconds=1)
@@ -140,3 +157,62 @@ def test_bursts_move_the_payload_past_no_account(tx):
     plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     inlined = next(line for line in plan if "Generate" in line)
     assert "to_bank_name" not in inlined and "no_referensi" not in inlined
+
+
+@pytest.mark.parametrize("name", ["rolling_count", "sum24h_by_ref", "rule_non_qr_10min", "family_refs"])
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_generated_methods_are_compiled(spark, name):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution()
+        stages = plan.debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+@pytest.mark.parametrize("burst", [False, True])
+def test_few_rows_are_moved_twice(spark, burst):
+    """Day-sized times: no more than a quarter more rows are shuffled than there are."""
+    rows = transactions(spark, FOLDER, "lineitem").select(ACCOUNT, AT)
+    days = timedelta(days=2)
+    bursts = [Burst("end", "n", 4, days)] if burst else []
+    rolled = trailing(rows, [Total("n", days, F.lit(1), False)], bursts)
+    rolled.write.format("noop").mode("overwrite").save()
+    spread = _spread(rows, [Total("n", days, F.lit(1), False)], bursts, ACCOUNT, AT, 8 * days)
+    assert spread.count() <= 1.26 * rows.count()
+
+
+@pytest.mark.parametrize("amount", [9_999_999_999_999_998.0, -9_999_999_999_999_998.0])
+def test_sums_beyond_a_bigint(tx, amount):
+    """Ten of these are more cents than a bigint can hold."""
+    rows = [((START + timedelta(seconds=n)).isoformat(), amount) for n in range(40)]
+    sums = {r.no_referensi: r.rolling_sum for r in rolling_sum(tx(*rows), SPAN).collect()}
+    assert sums == {f"r{n}": Decimal(int(amount)) * (n + 1) for n in range(40)}
+    by_ref = sum_by_ref(tx(*[(at, x, "A", "same") for at, x in rows]), SPAN).collect()
+    assert [tuple(r) for r in by_ref] == [("same", Decimal(int(amount)) * (40 * 41 // 2))]
+
+
+def test_cents_are_the_decimal(spark):
+    """Halves of a cent, amounts of 15 digits and more, nothing at all."""
+    amounts = [0.005, 1.005, 2.675, 1e15 / 3, 123456789012.34, 9007199254740993.0, -0.015, 1e-9, None]
+    amounts += [random.Random(1).uniform(-1e9, 1e9) for _ in range(500)]
+    rows = spark.createDataFrame([(x,) for x in amounts], f"{AMOUNT} double")
+    wrong = rows.filter((cents().cast("decimal(38,2)") / 100).cast("decimal(20,2)") != money())
+    assert wrong.count() == 0
+
+
+def test_bursts_need_one_sort(tx):
+    history = tx(("2025-01-01", 1))
+    rolled = trailing(history, [Total("n", SPAN, F.lit(1), False)], [Burst("end", "n", 3, SPAN)])
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert sum(line.lstrip(" :+-*()0123456789").startswith("Sort [") for line in plan.split("\n")) == 1
+
+
+def test_burst_span_is_covered_too(tx):
+    counted = [Total("n", TICK, F.lit(1), False)]
+    with pytest.raises(ValueError, match="shorter"):
+        trailing(tx(("2025-01-01", 1)), counted, [Burst("end", "n", 1, SPAN)], stretch=TICK)

@@ -1,16 +1,19 @@
 """Trailing totals and bursts per account.
 
-Cost does not depend on how dense an account is. A sliding range frame re-adds every row
-of the frame for every row; here each row instead enters the total at its own time and
-leaves it when the span has passed, so a plain running sum over both moments gives the
-trailing total: one sort, no frame to rescan, no pairs of rows.
+Cost does not depend on how dense an account is. A sliding range frame re-adds every row of
+the frame for every row. Here a trailing total is the difference of two totals from the
+beginning, of all that has come and of all that has passed; both only ever grow, so each row
+is added twice, whatever the span: one sort, no frame to rescan, no pairs of rows.
 
 Cost does not depend on how uneven the accounts are either: rows are grouped by account and
-stretch of time, so a large account is as many groups as it has stretches. A stretch is at
-least as long as the span. What still counts when a stretch begins enters it there, once
-more; what begins soon after a stretch ends is seen by it too, so that it knows the bursts
-that reach back into it. There is one plan for all data, with one shuffle and no joins, and
-nothing runs while it is built.
+stretch of time, so a large account is as many groups as it has stretches. A stretch is
+several spans long. Rows of the last span of a stretch are in the next one too, and those
+soon after its end are seen by it, so that it knows the bursts that reach back into it. Only
+these few rows are moved twice. There is one plan for all data, with one shuffle, one sort
+and no joins, and nothing runs while it is built.
+
+Times are turned into microseconds once, below the step that repeats rows: all above it
+works on whole numbers, in methods short enough to be compiled.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -27,11 +31,14 @@ from txvigil.schema import ACCOUNT, AMOUNT, AT, MONEY, REF
 
 _TICK = timedelta(microseconds=1)
 # Stretches of this many spans repeat few rows at their edges and still cut a large account.
-_SPANS = 2
+_SPANS = 8
 _SHORTEST = timedelta(hours=1)
-_STRETCH, _TIME, _KIND = "_stretch", "_time", "_kind"
-# A row in its own stretch, and in the one before; entering and leaving come per expiry.
-_OWN, _AHEAD = 0, -1
+_STRETCH, _START, _TIME, _OWN = "_stretch", "_start", "_time", "_at_home"
+
+# Sums of cents are kept as two whole numbers, multiples of this and the rest.
+_LIMB_BITS = 30
+_LIMB = 1 << _LIMB_BITS
+_SUM = "decimal(28,2)"
 
 
 @dataclass(frozen=True)
@@ -39,13 +46,15 @@ class Total:
     """Sum of ``value`` over the rows of the account in the trailing ``span``.
 
     The left edge is part of the window only if ``left_closed``; rows at the current
-    time all are.
+    time all are. With ``in_cents`` the value is a whole number of cents and the sum an
+    exact decimal.
     """
 
     name: str
     span: timedelta
     value: Column
     left_closed: bool
+    in_cents: bool = False
 
     @property
     def expiry(self) -> timedelta:
@@ -71,6 +80,28 @@ def money(amount: str = AMOUNT) -> Column:
     return F.coalesce(checked_cast(F.col(amount), MONEY, amount), F.lit(0).cast(MONEY))
 
 
+def cents(amount: str = AMOUNT) -> Column:
+    """The same as a whole number of cents.
+
+    A double that is the nearest one to so many cents, of no more than 15 digits, stands for
+    just these; any other amount takes the way over decimals.
+    """
+    value = F.col(amount).try_cast("double")
+    near = F.rint(value * 100)
+    plain = (F.abs(near) < 1e15) & (near / 100 == value)
+    exact = (checked_cast(F.col(amount), MONEY, amount) * 100).cast("long")
+    return F.coalesce(F.when(plain, near.cast("long")).otherwise(exact), F.lit(0).cast("long"))
+
+
+def in_money(high: Column, low: Column) -> Column:
+    """The decimal for a sum of cents in two parts; beyond a bigint by decimal arithmetic."""
+    short = F.abs(high) < 1 << 32
+    short = short & (F.abs(low) < 1 << 62)
+    long = high.cast("decimal(20,0)") * _LIMB + low.cast("decimal(20,0)")
+    whole = F.when(short, (high * _LIMB + low).cast("decimal(28,0)"))
+    return (whole.otherwise(long.cast("decimal(28,0)")) * Decimal("0.01")).cast(_SUM)
+
+
 def placed(rows: DataFrame, account: str = ACCOUNT, at: str = AT) -> DataFrame:
     """Rows that belong to an account and a time."""
     return rows.filter(F.col(account).isNotNull() & F.col(at).isNotNull())
@@ -88,41 +119,72 @@ def trailing(
 
     ``stretch`` changes how rows are grouped, not the result; no span may be longer.
     """
-    longest = max(t.expiry for t in totals)
+    made = [in_money(*parts(t.name)).alias(t.name) if t.in_cents else F.col(t.name) for t in totals]
+    keep = [F.col(c) for c in [*rows.columns, *[b.name for b in bursts]]]
+    order = len(rows.columns)
+    rolled = trailing_parts(rows, totals, bursts, account, at, stretch)
+    return rolled.select(*keep[:order], *made, *keep[order:])
+
+
+def trailing_parts(
+    rows: DataFrame,
+    totals: Sequence[Total],
+    bursts: Sequence[Burst] = (),
+    account: str = ACCOUNT,
+    at: str = AT,
+    stretch: timedelta | None = None,
+) -> DataFrame:
+    """The same with totals in cents as their two ``parts``, which can be added up further."""
+    longest = max([t.expiry for t in totals] + [b.span for b in bursts])
     stretch = stretch or max(_SPANS * longest, _SHORTEST)
     if stretch < longest:
         raise ValueError(f"a stretch of {stretch} is shorter than {longest}")
-    keep = [F.col(c) for c in rows.columns]
-    keep += [F.col(t.name) for t in totals]
-    keep += [_covering(b, at).alias(b.name) for b in bursts]
-
-    rows = placed(rows, account, at).withColumns({_own(t.name): t.value for t in totals})
-    group = Window.partitionBy(account, _STRETCH)
-    forward = group.orderBy(_TIME).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    backward = group.orderBy(F.desc(_TIME)).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
+    summed = {}
+    for total in totals:
+        if total.in_cents:
+            high, low = (f"_{part}_{total.name}" for part in ("high", "low"))
+            summed |= {high: (total, _own(high)), low: (total, _own(low))}
+        else:
+            summed[total.name] = (total, _own(total.name))
+    keep = [*rows.columns, *summed]
+    group = Window.partitionBy(account, _STRETCH).orderBy(_TIME)
+
+    def still_there(total: Total, own: str) -> Column:
+        come = F.sum(own).over(group.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        passed = group.rangeBetween(Window.unboundedPreceding, -_us(total.expiry))
+        gone = F.sum(own).over(passed)
+        return come - F.coalesce(gone, F.lit(0))
+
+    spread = _spread(rows, totals, bursts, account, at, stretch)
+    rolled = spread.withColumns({name: still_there(*which) for name, which in summed.items()})
+    rolled = rolled.withColumns({_end(b.name): _ending(b, at) for b in bursts})
+    # The next end of a burst in the same order, so that nothing is sorted again.
+    following = f"OVER (PARTITION BY `{account}`, {_STRETCH} ORDER BY {_TIME})"
+    rolled = rolled.withColumns(
+        {_next(b.name): F.expr(f"lead(`{_end(b.name)}`, 1) IGNORE NULLS {following}") for b in bursts}
     )
-    moved = _moves(rows, totals, bursts, account, at, stretch)
-    rows = moved.withColumns({t.name: F.sum(_moved(t.name)).over(forward) for t in totals})
-    rows = rows.filter(F.col(_KIND) <= _OWN)
-    rows = rows.withColumns({_end(b.name): F.min(_ending(b, at)).over(backward) for b in bursts})
-    return rows.filter(F.col(_KIND) == _OWN).select(keep)
+    covering = [_covering(b, at).alias(b.name) for b in bursts]
+    return rolled.filter(_OWN).select(*keep, *covering)
 
 
-def _own(total: str) -> str:
-    return f"_own_{total}"
+def parts(total: str) -> tuple[Column, Column]:
+    return F.col(f"_high_{total}"), F.col(f"_low_{total}")
 
 
-def _moved(total: str) -> str:
-    return f"_moved_{total}"
+def _own(total: str) -> str:
+    return f"_own_{total}"
 
 
 def _end(burst: str) -> str:
     return f"_end_{burst}"
 
 
+def _next(burst: str) -> str:
+    return f"_next_{burst}"
+
+
 def _covering(burst: Burst, at: str) -> Column:
-    end = F.col(_end(burst.name))
+    end = F.coalesce(_end(burst.name), _next(burst.name))
     return F.when((F.col(_own(burst.total)) > 0) & (end - burst.span <= F.col(at)), end)
 
 
@@ -135,7 +197,7 @@ def _us(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 
 
-def _moves(
+def _spread(
     rows: DataFrame,
     totals: Sequence[Total],
     bursts: Sequence[Burst],
@@ -143,48 +205,32 @@ def _moves(
     at: str,
     stretch: timedelta,
 ) -> DataFrame:
-    """What each row does to the totals of its stretch and of the neighbouring ones.
+    """Every row in its own stretch and, with no other columns, in those that need it too.
 
-    A move has the start of a stretch, a time and a kind. Only the row itself carries
-    columns besides account, time and amounts.
+    That is the following one if the row still counts when it begins, and the one before if a
+    burst that ends here can reach back into it.
     """
-    expiries = sorted({t.expiry for t in totals})
+    own = {}
+    for total in totals:
+        if total.in_cents:
+            own[_own(f"_high_{total.name}")] = F.shiftright(total.value, _LIMB_BITS)
+            own[_own(f"_low_{total.name}")] = total.value.bitwiseAND(F.lit(_LIMB - 1).cast("long"))
+        else:
+            own[_own(total.name)] = total.value
+    expiry = _us(max(t.expiry for t in totals))
     ahead = max((_us(b.span) for b in bursts), default=0)
-    length, time = _us(stretch), epoch_us(F.col(at))
-    start = time - F.pmod(time, F.lit(length))
-    following, previous = start + length, start - length
-
-    def move(to: Column, when: Column, kind: int, needed: Column) -> Column:
-        made = F.struct(to.alias(_STRETCH), when.alias(_TIME), F.lit(kind).alias(_KIND))
-        return F.when(needed, made)
+    length, time, start = _us(stretch), F.col(_TIME), F.col(_START)
+    payload = [c for c in rows.columns if c not in (account, at)]
 
-    seen = time < start + ahead
-    moves = [move(start, time, _OWN, F.lit(True))]
+    timed = placed(rows, account, at).withColumn(_TIME, epoch_us(F.col(at)))
+    timed = timed.withColumns({**own, _START: time - F.pmod(time, F.lit(length))})
+    places = [start, F.when(time + expiry > start + length, start + length)]
     if bursts:
-        moves.append(move(previous, time, _AHEAD, seen))
-    for number, expiry in enumerate(expiries):
-        enter, leave = 2 * number + 1, 2 * number + 2
-        end = time + _us(expiry)
-        over = end > following
-        # Times from here on are looked at by no stretch that begins at ``start``.
-        moves.append(move(start, end, leave, end < following + ahead))
-        moves += [move(following, following, enter, over), move(following, end, leave, over)]
-        if bursts:
-            moves.append(move(previous, end, leave, seen & (end < start + ahead)))
-    kind = F.col(_KIND)
-    columns = {
-        c: F.when(kind == _OWN, F.col(c)) for c in rows.columns if c not in (account, at)
-    }
-    for total in totals:
-        own, number = F.col(_own(total.name)), expiries.index(total.expiry)
-        columns[_own(total.name)] = F.when(kind <= _OWN, own)
-        columns[_moved(total.name)] = (
-            F.when((kind <= _OWN) | (kind == 2 * number + 1), own)
-            .when(kind == 2 * number + 2, -own)
-            .otherwise(F.lit(0))
-        )
-    made = rows.select("*", F.inline(F.array(*moves))).filter(kind.isNotNull())
-    return made.withColumns(columns)
+        places.append(F.when(time < start + ahead, start - length))
+    spread = timed.select("*", F.explode(F.array(*places)).alias(_STRETCH))
+    spread = spread.filter(F.col(_STRETCH).isNotNull())
+    spread = spread.withColumn(_OWN, F.col(_STRETCH) == start).drop(_START)
+    return spread.withColumns({c: F.when(F.col(_OWN), F.col(c)) for c in payload})
 
 
 def rolling_count(rows: DataFrame, span: timedelta, **options) -> DataFrame:
@@ -196,7 +242,7 @@ def rolling_count(rows: DataFrame, span: timedelta, **options) -> DataFrame:
 
 def rolling_sum(rows: DataFrame, span: timedelta, **options) -> DataFrame:
     """Adds the amount of the account in [t - span, t]."""
-    return trailing(rows, [Total("rolling_sum", span, money(), True)], **options)
+    return trailing(rows, [Total("rolling_sum", span, cents(), True, in_cents=True)], **options)
 
 
 def burst_rows(rows: DataFrame, span: timedelta, at_least: int, **options) -> DataFrame:
@@ -228,6 +274,8 @@ def sum_by_ref(
 
     Rows that are not ``counted`` are only in the totals of others.
     """
-    summed = rolling_sum(rows.select(AT, ACCOUNT, REF, AMOUNT), span, **options)
+    total = Total("rolling_sum", span, cents(), True, in_cents=True)
+    summed = trailing_parts(rows.select(AT, ACCOUNT, REF, AMOUNT), [total], **options)
     keyed = summed.filter(F.col(REF).isNotNull() & (F.lit(True) if counted is None else counted))
-    return per_key(keyed, [REF], F.sum("rolling_sum").alias("rolling_sum"))
+    high, low = (F.sum(part) for part in parts("rolling_sum"))
+    return per_key(keyed, [REF], in_money(high, low).alias("rolling_sum"))

@@ -16,10 +16,12 @@ from txvigil.operators.rolling import (
     Burst,
     Total,
     burst_rows,
-    money,
+    cents,
+    in_money,
+    parts,
     placed,
     sum_by_ref,
-    trailing,
+    trailing_parts,
 )
 from txvigil.schema import ACCOUNT, AMOUNT, AT, EVENT_DATE, FLAG_TYPE, REF
 
@@ -116,13 +118,14 @@ def flagged_refs(
             bursts.append(Burst(f"burst_{rule.flag}", total, rule.at_least, rule.span))
             hit = F.max(F.col(f"burst_{rule.flag}").isNotNull())
         else:
-            amount = F.when(chosen, money()).otherwise(F.lit(0))
-            totals.append(Total(total, rule.span, amount, True))
-            hit = F.sum(F.when(chosen, F.col(total))) >= rule.at_least
+            amount = F.when(chosen, cents()).otherwise(F.lit(0).cast("long"))
+            totals.append(Total(total, rule.span, amount, True, in_cents=True))
+            high, low = (F.sum(F.when(chosen, part)) for part in parts(total))
+            hit = in_money(high, low) >= rule.at_least
         hits.append(F.coalesce(hit, F.lit(False)).cast(FLAG_TYPE).alias(rule.flag))
     if any(isinstance(rule, SumRule) for rule in rules):
         columns.append(AMOUNT)
-    rolled = trailing(history.select(columns), totals, bursts)
+    rolled = trailing_parts(history.select(columns), totals, bursts)
     if where:
         hits.append(F.collect_set(F.to_date(AT)).alias("dates"))
         hits.append(F.collect_set(ACCOUNT).alias("accounts"))
