@@ -11,7 +11,7 @@ from txvigil.llm.oracles import ORACLES
 from txvigil.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = "documents", "pages", "conversations"
+TABLES = "documents", "pages", "conversations", "embeddings"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -33,7 +33,7 @@ def test_sql(spark, sql, name):
 
 
 def test_one_query_each():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_fingerprints_tell_texts_apart(spark):

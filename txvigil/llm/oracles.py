@@ -253,3 +253,120 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed
   sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM docs LEFT JOIN cut USING (r)
 """
+
+ORACLES["op11_collision_counting"] = """
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), used AS (
+  SELECT * FROM rows WHERE label IS NOT NULL AND v IS NOT NULL
+    AND len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN v IF x <> 0]) > 0
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM used a JOIN used b
+  ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT r AS a, r AS b FROM rows UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), smallest AS (
+  SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN rows ON b = rows.r GROUP BY a
+), many AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id,
+  vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN smallest USING (r) LEFT JOIN many USING (r)
+"""
+
+
+def _framed(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _levels(name: str, nodes: str, levels: int) -> str:
+    """Levels of trees of up to 8 ** ``levels`` leaves, and their runs with all digests."""
+    parts = [f"{name}0 AS ({nodes})"]
+    for k in range(levels):
+        parts.append(
+            f"{name}runs{k} AS (SELECT tree, slot // 8 AS run, many, list(d ORDER BY slot) AS ds "
+            f"FROM {name}{k} GROUP BY tree, slot // 8, many)"
+        )
+        parts.append(
+            f"{name}{k + 1} AS (SELECT tree, run AS slot, (many + 7) // 8 AS many, "
+            f"CASE WHEN many > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d FROM {name}runs{k})"
+        )
+    return ", ".join(parts)
+
+
+def _folds(name: str, levels: int, leaves: str) -> str:
+    """From ``leaves``(key, tree, slot, f, proof): f folded and proof extended, level by level."""
+    parts, before = [], leaves
+    for k in range(levels):
+        at = f"(slot // {8**k}) % 8"
+        left, right = f"array_to_string(ds[1:{at}], '')", f"array_to_string(ds[{at} + 2:], '')"
+        parts.append(
+            f"{name}fold{k} AS (SELECT l.key, l.tree, l.slot, "
+            f"CASE WHEN r.many > 1 THEN sha256({left} || f || {right}) ELSE f END AS f, "
+            f"CASE WHEN r.many > 1 THEN proof || {left} || {right} ELSE proof END AS proof "
+            f"FROM {before} l JOIN {name}runs{k} r ON r.tree = l.tree AND r.run = l.slot // {8 ** (k + 1)})"
+        )
+        before = f"{name}fold{k}"
+    return ", ".join(parts)
+
+
+# Trees of up to 32,768 documents per language and 512 languages; a byte of the id at a time for its checksum.
+_DOC_LEVELS, _TOP_LEVELS = 5, 3
+_FIELDS = " || ".join(_framed(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DOC_NODES = (
+    "SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS slot, "
+    "count(*) OVER (PARTITION BY tree) AS many, leaf AS d, key FROM leaves"
+)
+_TOP_NODES = (
+    "SELECT '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS slot, count(*) OVER () AS many, "
+    f"d, tree AS lang FROM doc{_DOC_LEVELS}"
+)
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS key, * FROM documents), bits AS (
+  SELECT key, doc_id, list_concat([4294967295], flatten([
+    [ascii(substring(CAST(doc_id AS VARCHAR), i, 1)), 0, 0, 0, 0, 0, 0, 0]
+    FOR i IN range(1, length(CAST(doc_id AS VARCHAR)) + 1)])) AS steps FROM docs
+), sums AS (
+  SELECT key, xor(list_reduce([CAST(s AS BIGINT) FOR s IN steps],
+    lambda c, v: xor(xor(c, v) >> 1, 3988292384 * (xor(c, v) & 1))), 4294967295) AS crc FROM bits
+), leaves AS (
+  SELECT key, doc_id, coalesce('=' || lang, '') AS tree,
+    sha256({_FIELDS} || {_framed('text')}) AS leaf,
+    sha256({_FIELDS} || {_framed(_LOWER)}) AS lowered,
+    crc % 3 = 0 AS changed
+  FROM docs JOIN sums USING (key)
+), {_levels('doc', _DOC_NODES, _DOC_LEVELS)}, {_levels('top', _TOP_NODES, _TOP_LEVELS)},
+claims AS (
+  SELECT key, doc0.tree, slot, CASE WHEN changed THEN lowered ELSE leaf END AS f, '' AS proof
+  FROM doc0 JOIN leaves USING (key)
+), {_folds('doc', _DOC_LEVELS, 'claims')}, heads AS (
+  SELECT key, '' AS tree, top0.slot, f, proof FROM doc{'fold'}{_DOC_LEVELS - 1} d JOIN top0 ON top0.lang = d.tree
+), {_folds('top', _TOP_LEVELS, 'heads')}
+SELECT doc_id, leaf, top0.d AS subroot, root.d AS root, sha256(proof) AS proof_sha256,
+  f AS folded_root, f = root.d AS verified
+FROM leaves JOIN topfold{_TOP_LEVELS - 1} t USING (key) JOIN top0 ON top0.lang = leaves.tree, top{_TOP_LEVELS} root
+"""
+
+ORACLES["op13_gnat_negatives"] = """
+WITH grid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM grid a JOIN grid b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), negatives AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""

@@ -7,7 +7,21 @@ from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txvigil.llm import chats, jaccard, lines, mixing, packing, quality, repeats, urls, winnowing, wrappers
+from txvigil.llm import (
+    chats,
+    gnat,
+    jaccard,
+    lines,
+    manifest,
+    mixing,
+    packing,
+    projections,
+    quality,
+    repeats,
+    urls,
+    winnowing,
+    wrappers,
+)
 from txvigil.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +146,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.join(sources, "key").select(
         *columns, (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query
+def op11_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of a label, linked from a cosine of 0.98."""
+    return projections.linked(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents by language; of a third of the ids the text was tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    tampered = F.when(changed, F.translate("text", _UPPER, _UPPER.lower())).otherwise(F.col("text"))
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf, claim = (manifest.leaf_digest([*fields, text]) for text in (F.col("text"), tampered))
+    return manifest.manifest(docs, "lang", "doc_id", leaf, claim).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.mined(table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0, label=label)
