@@ -261,6 +261,45 @@ ORACLES["burst_flag"] = (
 ORACLES["burst_interval_join"] = burst_sql("orders", days(30), 2)
 ORACLES["sliced_burst"] = burst_sql("events", hours(6), 3)
 
+# What is behind a flag
+
+
+def burst_pairs_sql(table: str, span: timedelta, at_least: int) -> str:
+    return (
+        f"WITH {tx(table)}, {counted(span)}, "
+        "ends AS (SELECT DISTINCT from_account_number AS account, us AS e FROM tx JOIN rc USING (id) "
+        f"WHERE rolling_count >= {at_least}) SELECT {emit_sql(*burst_columns(span))} "
+        "FROM tx JOIN rc USING (id) JOIN ends ON from_account_number = account "
+        f"AND us >= e - {micros(span)} AND us <= e"
+    )
+
+
+def contributors_sql(rule: str, span: timedelta) -> str:
+    """``rule`` defines ``tx`` and ``hit``(no_referensi, rolling_sum)."""
+    return (
+        f"WITH {rule} SELECT a.no_referensi, a.from_account_number, a.us AS transaction_date_us, "
+        "a.transaction_amount, CAST(hit.rolling_sum AS DOUBLE) AS rolling_sum, "
+        "b.no_referensi AS no_referensi_r, b.us AS transaction_date_r_us, "
+        "b.transaction_amount AS transaction_amount_r FROM tx a JOIN hit USING (no_referensi) "
+        "JOIN tx b ON a.from_account_number = b.from_account_number "
+        f"AND b.us >= a.us - {micros(span)} AND b.us <= a.us"
+    )
+
+
+def reached_sql(table: str, span: timedelta, at_least: float, where: str = "true") -> str:
+    return (
+        f"{tx(table, where)}, {summed(span)}, hit AS (SELECT no_referensi, sum(total) AS rolling_sum "
+        f"FROM s GROUP BY no_referensi HAVING sum(total) >= {at_least})"
+    )
+
+
+ORACLES["burst_interval_pairs"] = burst_pairs_sql("orders", days(60), 3)
+ORACLES["burst_interval_pairs_dense"] = burst_pairs_sql("events", hours(6), 2)
+ORACLES["sum_contributors"] = contributors_sql(reached_sql("lineitem", days(2), 200_000), days(2))
+ORACLES["sum_contributors_early"] = contributors_sql(
+    reached_sql("events", hours(24), 100, "hour(transaction_date) BETWEEN 0 AND 6"), hours(24)
+)
+
 # Sorted tables
 
 ORACLES["sort_history"] = f"{rows_sql()} ORDER BY transaction_date, from_account_number"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txvigil.catalog.views import AS_OF, AS_OF_ORDERS, emit, transactions
 from txvigil.functions import parse_timestamp, stamp
-from txvigil.operators import deltas, filters, flags, keys, ordering, rolling
+from txvigil.operators import deltas, filters, flags, keys, ordering, pairs, rolling
 from txvigil.plans.families import CCW, LISTRIK, RULES, TF_ONLINE, Family
 from txvigil.plans.jobs import ingest, output_refs, run_family, update_flags
 from txvigil.plans.rules import Rule, evaluate, flagged_refs
@@ -359,6 +359,31 @@ def sliced_burst(spark, sf_dir):
     return emit(rolling.burst_rows(rows, hours(6), 3, stretch=hours(6)))
 
 
+# What is behind a flag
+
+
+@query
+def burst_interval_pairs(spark, sf_dir):
+    return emit(pairs.burst_pairs(transactions(spark, sf_dir, "orders"), days(60), 3))
+
+
+@query
+def burst_interval_pairs_dense(spark, sf_dir):
+    return emit(pairs.burst_pairs(transactions(spark, sf_dir), hours(6), 2))
+
+
+@query
+def sum_contributors(spark, sf_dir):
+    rows = transactions(spark, sf_dir, "lineitem")
+    return emit(pairs.contributors(rows, days(2), 200_000))
+
+
+@query
+def sum_contributors_early(spark, sf_dir):
+    rows = filters.filter_hours(transactions(spark, sf_dir), 0, 6)
+    return emit(pairs.contributors(rows, hours(24), 100))
+
+
 # Sorted tables
 
 
