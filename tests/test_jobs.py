@@ -17,7 +17,7 @@ from txvigil.plans.jobs import (
     run_rule,
     update_flags,
 )
-from txvigil.plans.rules import evaluate, flagged_refs
+from txvigil.plans.rules import evaluate, flagged_refs, flagged_rows, output_of, with_rows
 from txvigil.schema import TRANSACTION
 from txvigil.sources import tables
 from txvigil.sources.drops import Drops
@@ -174,16 +174,17 @@ def test_merge_reads_only_the_days_of_its_hits(spark, tx, site, monkeypatch):
     rows = tx(("2025-01-09", 1), ("2025-01-10", 1)).withColumn("flag", F.lit(0).cast("tinyint"))
     tables.replace_history(rows, site.history)
     plans = []
-    real = jobs.replace_days
+    real = jobs.replace_table
 
     def kept(rows, path):
         plans.append(rows._jdf.queryExecution().executedPlan().toString())
         return real(rows, path)
 
-    monkeypatch.setattr(jobs, "replace_days", kept)
+    monkeypatch.setattr(jobs, "replace_table", kept)
     assert update_flags(spark, CCW, site.history, hit(spark, "r1", DAY, "flag")) == 1
     for scan in plans[0].split("FileScan")[1:]:
-        if "to_bank_name" in scan or "event_date" in scan:
+        assert "to_bank_name" not in scan and "transaction_amount" not in scan
+        if "event_date" in scan:
             assert "event_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
 
 
@@ -267,6 +268,111 @@ def test_every_family_flags_its_categories(spark, site, name):
     assert site.rows(*family.flags) == sorted(expected)
 
 
+def test_merging_flags_writes_no_transactions(spark, tx, site):
+    rows = tx(("2025-01-09", 1), ("2025-01-10", 1)).withColumn("flag", F.lit(0).cast("tinyint"))
+    tables.replace_history(rows, site.history)
+    before = site.files()
+    assert update_flags(spark, CCW, site.history, hit(spark, "r1", DAY, "flag")) == 1
+    (new,) = site.files() - before
+    written = spark.read.parquet(f"{site.history}/../{new}")
+    assert set(written.columns) <= {"no_referensi", "flag"} and before <= site.files()
+    assert site.rows("flag") == [("r0", 0), ("r1", 1)]
+    plan = tables.read_table(spark, site.history).select("no_referensi")._jdf.queryExecution()
+    assert "Join" not in plan.optimizedPlan().toString()
+
+
+def test_compaction(spark, tx, site):
+    """Thirty appends to two days and flags in between; a reader before, at and after each step."""
+    for n in range(30):
+        row = tx((f"2025-01-0{1 + n % 2}", 1, "A", f"r{n:02}")).withColumn("flag", F.lit(0).cast("tinyint"))
+        tables.append_history(row, site.history)
+    early = hit(spark, "r00", date(2025, 1, 1), "flag")
+    assert update_flags(spark, CCW, site.history, early) == 1
+    late = hit(spark, "r03", date(2025, 1, 2), "flag")
+    assert update_flags(spark, CCW, site.history, late) == 1
+    reader = tables.read_table(spark, site.history)
+    before = site.rows("flag")
+    assert before == [(f"r{n:02}", int(n in (0, 3))) for n in range(30)]
+    assert tables.compact_history(spark, site.history) == 2
+    assert site.rows("flag") == before and reader.count() == 30
+    pointer = tables._pointer(spark, site.history)
+    assert len(pointer["parts"]) == 2 and not pointer["flags"]
+    assert tables.compact_history(spark, site.history) == 0
+    assert update_flags(spark, CCW, site.history, early) == 0
+    assert update_flags(spark, CCW, site.history, hit(spark, "r02", date(2025, 1, 1), "flag")) == 1
+    assert tables.compact_history(spark, site.history) == 1
+    assert site.rows("flag") == [(f"r{n:02}", int(n in (0, 2, 3))) for n in range(30)]
+
+
+def _daily(site, day):
+    """Bursts and sums across midnight, a late transaction of an earlier day among the third drop."""
+    d = f"2025-01-{day:02}"
+    rows = [line(f"a{day}{i}", f"{d} 23:5{6 + i}:00", 1e6, "TRANSFER_OA", account="A") for i in range(3)]
+    rows += [line(f"b{day}{i}", f"{d} 00:00:{10 + i}", 1e6, "TRANSFER_OA", account="A") for i in range(2)]
+    rows += [line(f"s{day}", f"{d} {20 - day}:00:00", 26e6, "TRANSFER_ON_US", account="S")]
+    if day == 9:
+        rows += [line("late", "2025-01-07 12:30:00", 30e6, "TRANSFER_ON_US", account="S")]
+    site.drop(f"202501{day:02}", *rows)
+
+
+def test_three_continued_runs_are_one_whole_run(spark, site, tmp_path):
+    family, days = FAMILIES["tf_online"], (7, 8, 9)
+    for day in days:
+        _daily(site, day)
+        run_family(
+            spark, family, site.drops, site.history, site.outputs, date(2025, 1, day), 1,
+            outputs=False, continued=True,
+        )
+    whole = str(tmp_path / "whole")
+    run_family(spark, family, site.drops, whole, f"{whole}_out", date(2025, 1, 9), 3, outputs=False)
+    expected = tables.read_table(spark, whole).select("no_referensi", *family.flags).collect()
+    assert site.rows(*family.flags) == sorted(tuple(r) for r in expected)
+    flagged = {r[0] for r in site.rows(*family.flags) if any(r[1:])}
+    assert {"b80", "s7", "s8", "s9"} <= flagged and "late" not in flagged
+
+
+def test_continued_run_prunes_old_days(spark, tx, site, monkeypatch):
+    family = FAMILIES["tf_online"]
+    rows = tx(*[(f"2025-01-0{d}", 1) for d in range(1, 9)], transaction_category="TRANSFER_OA")
+    tables.replace_history(rows.withColumns({f: F.lit(0).cast("tinyint") for f in family.flags}), site.history)
+    run = dict(outputs=False, continued=True)
+    run_family(spark, family, site.drops, site.history, site.outputs, date(2025, 1, 8), 1, **run)
+    site.drop("20250109", line("n", "2025-01-09 12:00:00", category="TRANSFER_OA"))
+    seen = []
+    real = jobs.flagged_rows
+
+    def kept(rules, history, *others):
+        seen.append(sorted(str(r[0]) for r in history.select("event_date").distinct().collect()))
+        plan = history._jdf.queryExecution().executedPlan().toString()
+        if len(seen) == 1:
+            assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        return real(rules, history, *others)
+
+    monkeypatch.setattr(jobs, "flagged_rows", kept)
+    run_family(spark, family, site.drops, site.history, site.outputs, date(2025, 1, 9), 1, **run)
+    assert seen == [["2025-01-08", "2025-01-09"]]
+    tables.compact_history(spark, site.history, 1)
+    run_family(spark, family, site.drops, site.history, site.outputs, date(2025, 1, 9), 1, **run)
+    assert seen[1:] == [[]]
+    tighter = replace(family, rules=(replace(family.rules[0], at_least=4), *family.rules[1:]))
+    run_family(spark, tighter, site.drops, site.history, site.outputs, date(2025, 1, 9), 1, **run)
+    assert len(seen[2]) == 9 and len(seen) == 3
+
+
+def test_found_rows_give_the_outputs_of_every_rule(spark, tx):
+    """With repeated and missing numbers, ties and rules of other lookbacks."""
+    at = [f"2025-01-10T12:0{i % 7}:0{i % 3}" for i in range(60)]
+    history = tx(*[
+        (t, 2e7 * (i % 4), f"acc{i % 3}", None if i % 11 == 0 else f"r{i % 25}") for i, t in enumerate(at)
+    ])
+    rules = FAMILIES["tf_online"].rules
+    rows = with_rows(history, flagged_rows(rules, history, DAY), rules)
+    for rule in rules:
+        expected, found = evaluate(rule, history, DAY), output_of(rule, rows, rules, DAY)
+        assert found.columns == expected.columns and found.dtypes == expected.dtypes
+        assert sorted(found.collect(), key=str) == sorted(expected.collect(), key=str)
+
+
 def test_lookback_prunes_days_and_columns(spark, tx, site):
     tables.replace_history(tx(("2025-01-01", 1), ("2025-01-10", 1)), site.history)
     history = tables.read_history(spark, site.history, CCW.flags)

@@ -4,6 +4,7 @@
     ingest FAMILY   add the new transactions of the last drops to the history
     rule NAME       write the flagged transactions of one rule
     merge FAMILY    merge the rules' outputs into the history
+    compact FAMILY  put the parts of each day of the history together
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ from txvigil.plans.jobs import ingest, output_refs, run_family, run_rule, update
 from txvigil.session import settings
 from txvigil.sources.drops import Drops
 from txvigil.sources.files import size
+from txvigil.sources.tables import compact_history
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(
         "txvigil", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
     )
-    parser.add_argument("command", choices=["run", "ingest", "rule", "merge"])
+    parser.add_argument("command", choices=["run", "ingest", "rule", "merge", "compact"])
     parser.add_argument("name", choices=sorted({*FAMILIES, *RULES}), metavar="FAMILY|NAME")
     parser.add_argument("--history", required=True, help="history table")
     parser.add_argument("--outputs", help="folder of the rule outputs")
@@ -36,6 +38,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--refs-only", action="store_true", help="run: no outputs, all rules in one pass"
     )
+    parser.add_argument(
+        "--continued", action="store_true", help="run: evaluate only what came since the last run"
+    )
+    parser.add_argument(
+        "--warmup", action="store_true", help="rule: read the span before the lookback too"
+    )
     parser.add_argument(
         "--cores", type=int, help="executor cores, default what the session starts with"
     )
@@ -43,7 +51,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     known = RULES if options.command == "rule" else FAMILIES
     if options.name not in known:
         parser.error(f"{options.command} takes one of {', '.join(known)}")
-    needed = {"run": ["drops", "outputs"], "ingest": ["drops"]}.get(options.command, ["outputs"])
+    needs = {"run": ["drops", "outputs"], "ingest": ["drops"], "compact": []}
+    needed = needs.get(options.command, ["outputs"])
     for name in needed:
         if getattr(options, name) is None:
             parser.error(f"{options.command} needs --{name}")
@@ -64,15 +73,17 @@ def main(argv: list[str] | None = None) -> None:
         rule = RULES[options.name]
         family = next(f for f in FAMILIES.values() if rule in f.rules)
         output = f"{options.outputs}/{rule.name}"
-        run_rule(spark, rule, family, options.history, output, options.as_of)
+        run_rule(spark, rule, family, options.history, output, options.as_of, options.warmup)
         return
     family = FAMILIES[options.name]
     if options.command == "run":
         run_family(
             spark, family, Drops(options.drops), options.history, options.outputs,
             options.as_of, options.days, outputs=not options.refs_only,
-            rejects_path=options.rejects,
+            rejects_path=options.rejects, continued=options.continued,
         )
+    elif options.command == "compact":
+        compact_history(spark, options.history)
     elif options.command == "ingest":
         ingest(
             spark, family, Drops(options.drops), options.history,

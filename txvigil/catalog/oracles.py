@@ -306,6 +306,13 @@ ORACLES["sort_history"] = f"{rows_sql()} ORDER BY transaction_date, from_account
 ORACLES["latest_top_k"] = f"{rows_sql()} ORDER BY transaction_date DESC, no_referensi LIMIT 20"
 ORACLES["page_slice"] = f"{rows_sql()} ORDER BY transaction_date, no_referensi LIMIT 30 OFFSET 10"
 
+ORACLES["page_slice_middle"] = (
+    "SELECT * EXCLUDE (place, many) FROM (SELECT *, "
+    "row_number() OVER (ORDER BY transaction_date_us, no_referensi, from_account_number, transaction_amount) - 1 AS place, "
+    f"count(*) OVER () AS many FROM ({rows_sql(table='lineitem')})) "
+    "WHERE place >= many // 2 AND place < many // 2 + 30"
+)
+
 # Scalar functions
 
 _SECONDS = "epoch_us(date_trunc('second', transaction_date))"
@@ -415,6 +422,7 @@ ORACLES["ingest_append"] = rows_sql(
     _ELIGIBLE, _EVENT_DATE, *[f"0 AS {f}" for f in TF_ONLINE.flags]
 )
 ORACLES["family_pipeline"] = ORACLES["family_pipeline_refs"] = pipeline_sql(TF_ONLINE)
+ORACLES["family_pipeline_continued"] = ORACLES["family_pipeline"]
 ORACLES["family_pipeline_ccw"] = ORACLES["family_pipeline_ccw_refs"] = pipeline_sql(CCW, MERGE_DAYS)
 ORACLES["family_pipeline_position"] = pipeline_sql(LISTRIK)
 
@@ -438,3 +446,11 @@ ORACLES["flag_merge_boolean"] = rows_sql(
     "0 AS flag_50mio",
     "0 AS flag_50mio_early",
 )
+ORACLES["history_compaction"] = rows_sql(
+    "true",
+    _EVENT_DATE,
+    "0 AS flag_5min",
+    f"CASE WHEN {_HIT} THEN 1 ELSE 0 END AS flag_10min",
+    "0 AS flag_50mio",
+    "0 AS flag_50mio_early",
+)

@@ -402,6 +402,12 @@ def page_slice(spark, sf_dir):
     return emit(ordering.page(transactions(spark, sf_dir), 10, 30))
 
 
+@query
+def page_slice_middle(spark, sf_dir):
+    rows = transactions(spark, sf_dir, "lineitem")
+    return emit(ordering.page(rows, rows.count() // 2, 30))
+
+
 # Scalar functions
 
 
@@ -562,3 +568,27 @@ def family_pipeline_ccw_refs(spark, sf_dir):
 @query
 def family_pipeline_position(spark, sf_dir):
     return _runs(spark, sf_dir, _family(LISTRIK), outputs=True)
+
+
+@query
+def family_pipeline_continued(spark, sf_dir):
+    """A run after every few days, each of which looks only at what has come since."""
+    source, path = write_drops(transactions(spark, sf_dir)), shared_folder(spark)
+    for day, n_days in (*RUNS[:1], (date(2024, 1, 25), 9), *RUNS[1:]):
+        run_family(
+            spark, _family(), source, f"{path}/history", path, day, n_days,
+            outputs=False, continued=True,
+        )
+    return emit(tables.read_table(spark, f"{path}/history"))
+
+
+@query
+def history_compaction(spark, sf_dir):
+    """A day at a time appended in two pieces, flags merged beside them, then all folded."""
+    rows, path = transactions(spark, sf_dir), shared_folder(spark)
+    for channel in ("MB", "IB"):
+        part = rows.filter(F.col(CHANNEL) == channel)
+        tables.append_history(flags.add_missing_flags(part, TF_ONLINE.flags), path)
+    _merge_days(spark, sf_dir, path, "flag_10min", date(2024, 1, 15), date(2024, 1, 20))
+    tables.compact_history(spark, path)
+    return emit(tables.read_history(spark, path, TF_ONLINE.flags))

@@ -5,25 +5,27 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from txvigil.operators.deltas import append_delta, new_keys, per_key
 from txvigil.operators.filters import filter_cutoff, filter_eligible, since
 from txvigil.operators.flags import add_missing_flags, merge_flags
-from txvigil.operators.keys import dedupe, semi_by_keys
+from txvigil.operators.keys import dedupe
+from txvigil.plans import progress
 from txvigil.plans.families import Family
-from txvigil.plans.rules import Rule, evaluate, flagged_refs
-from txvigil.schema import ACCOUNT, AT, DAY, EVENT_DATE, FLAG_TYPE, REF
+from txvigil.plans.rules import Rule, evaluate, flagged_rows, output_of, with_rows
+from txvigil.schema import AT, DAY, EVENT_DATE, FLAG_TYPE, REF
 from txvigil.sources.drops import Drops, read_daily_drops
 from txvigil.sources.files import remove, shared_folder
 from txvigil.sources.tables import (
+    append_flags,
     append_history,
     read_history,
     read_table,
-    replace_days,
     replace_history,
     replace_table,
     table_exists,
@@ -105,10 +107,11 @@ def run_rule(
     history_path: str,
     output_path: str,
     as_of: date,
+    warmup: bool = False,
 ) -> int:
     """Writes the rule's flagged transactions, none at all included, and returns their number."""
     history = read_history(spark, history_path, family.flags)
-    found = replace_table(evaluate(rule, history, as_of, family.flags), output_path)
+    found = replace_table(evaluate(rule, history, as_of, family.flags, warmup), output_path)
     log.info("%s: %d flagged", rule.name, found)
     return found
 
@@ -147,7 +150,8 @@ def update_flags(spark: SparkSession, family: Family, history_path: str, hits: D
     """Merges flags into the history; returns how many transactions got a new one.
 
     ``hits`` says on which days its reference numbers are; only these days are read, and of
-    them only those written that get a new flag. A history that stores Boolean flags is
+    them only number, day and flags. What is new is written as flags beside the days
+    (``append_flags``); no transaction is written again. A history that stores Boolean flags is
     written anew as a whole. ``hits`` is read more than once and should come from a table.
     """
     flags = [f for f in family.flags if f in hits.columns]
@@ -156,24 +160,23 @@ def update_flags(spark: SparkSession, family: Family, history_path: str, hits: D
     if not boolean:
         history = history.filter(on_days(hits.select(EVENT_DATE).distinct().collect()))
     hits = per_key(hits, [REF], *[F.max(f).alias(f) for f in flags])
-
-    news = F.lit(False)
-    for flag in flags:
-        news = news | ((F.col(f"_new_{flag}") == 1) & (F.col(flag) == 0))
+    news = {f: ((F.col(f"_new_{f}") == 1) & (F.col(f) == 0)) for f in flags}
     renamed = hits.select(REF, *[F.col(f).alias(f"_new_{f}") for f in flags])
     before = history.select(REF, EVENT_DATE, *flags).filter(F.col(REF).isNotNull())
-    per_day = (
-        before.join(renamed, REF).filter(news).groupBy(EVENT_DATE).agg(F.count("*").alias("rows"))
-    ).collect()
-    if not per_day:
-        log.info("%s: no new flags", family.name)
-        return 0
+    fresh = before.join(renamed, REF).filter(reduce(or_, news.values(), F.lit(False)))
     if boolean:
-        replace_history(merge_flags(history, hits, flags), history_path)
+        changed = fresh.count()
+        if changed:
+            replace_history(merge_flags(history, hits, flags), history_path)
     else:
-        touched = history.filter(on_days(per_day))
-        replace_days(merge_flags(touched, hits, flags), history_path)
-    return sum(row["rows"] for row in per_day)
+        set_now = {f: F.coalesce(new, F.lit(False)).cast(FLAG_TYPE) for f, new in news.items()}
+        staged = shared_folder(spark)
+        changed = replace_table(fresh.withColumns(set_now).select(REF, EVENT_DATE, *flags), staged)
+        if changed:
+            append_flags(read_table(spark, staged), history_path)
+        remove(spark, staged)
+    log.info("%s: %d with new flags", family.name, changed)
+    return changed
 
 
 def boolean_flags(rows: DataFrame, flags: Sequence[str]) -> bool:
@@ -198,41 +201,47 @@ def run_family(
     n_days: int | None = None,
     outputs: bool = True,
     rejects_path: str | None = None,
+    continued: bool = False,
 ) -> dict[str, int]:
     """Ingest, then all rules, then one merge of all their flags.
 
-    One pass over the few columns that rules need finds the flagged reference numbers of all
-    rules. With ``outputs`` every rule also leaves its flagged transactions in
-    ``output_folder``: a rule looks at one account at a time, so only the transactions of
-    accounts with a flagged number are read in full, once for all rules.
+    One pass over the few columns that rules need finds the transactions that any rule flags.
+    With ``outputs`` every rule also leaves its flagged transactions in ``output_folder``: what
+    was found is joined once with the rest of its columns, and every rule takes its part.
+
+    ``continued`` evaluates only what has come since the last such run, with a span around it
+    (``progress``); the outputs then hold what this run has flagged. The first run, and one
+    after a change of the rules, evaluates everything.
     """
     ingested = ingest(spark, family, drops, history_path, as_of, n_days, rejects_path)
     report = {"added": ingested.added}
     if not table_exists(spark, history_path):
         return report
+    state = f"{output_folder}/{family.name}_evaluated"
     history = read_history(spark, history_path, family.flags)
-    path = f"{output_folder}/{family.name}_refs"
-    replace_table(flagged_refs(family.rules, history, as_of, where=True), path)
+    todo = progress.unseen(spark, history_path, state, family.rules) if continued else None
+    within = None
+    if todo is not None:
+        history = history.filter(progress.any_of([stretch.read() for stretch in todo]))
+        within = progress.any_of([stretch.whole() for stretch in todo])
+    path = f"{output_folder}/{family.name}_found"
+    replace_table(flagged_rows(family.rules, history, as_of, within), path)
     found = read_table(spark, path)
     if outputs:
-        accounts = found.select(F.explode("accounts").alias(ACCOUNT)).distinct()
+        rows = shared_folder(spark)
         lookbacks = [rule.lookback for rule in family.rules]
         if None not in lookbacks:
             history = filter_cutoff(history, as_of, max(lookbacks)).drop(DAY)
-        suspects = shared_folder(spark)
-        replace_table(semi_by_keys(history, accounts, [ACCOUNT]), suspects)
-        history = read_table(spark, suspects)
-        paths = {rule.flag: f"{output_folder}/{rule.name}" for rule in family.rules}
+        replace_table(with_rows(history, found, family.rules, family.flags), rows)
+        flagged = read_table(spark, rows)
         for rule in family.rules:
-            flagged = evaluate(rule, history, as_of, family.flags)
-            report[rule.flag] = replace_table(flagged, paths[rule.flag])
-        remove(spark, suspects)
-        hits = output_refs(spark, paths, as_of, family.merge_days, dated=True)
-    else:
-        hits = found.filter(F.col(REF).isNotNull()).withColumn(EVENT_DATE, F.explode("dates"))
-        if family.merge_days is not None:
-            first = F.lit(as_of - timedelta(days=family.merge_days))
-            hits = hits.filter(F.col(EVENT_DATE) >= first)
-        hits = hits.drop("dates", "accounts")
+            output = output_of(rule, flagged, family.rules, as_of)
+            report[rule.flag] = replace_table(output, f"{output_folder}/{rule.name}")
+        remove(spark, rows)
+    hits = found.filter(F.col(REF).isNotNull()).withColumn(EVENT_DATE, F.to_date(AT))
+    if family.merge_days is not None:
+        hits = hits.filter(since(as_of, family.merge_days))
+    hits = hits.select(REF, EVENT_DATE, *family.flags)
     report["updated"] = update_flags(spark, family, history_path, hits)
+    progress.remember(spark, history_path, state, family.rules)
     return report

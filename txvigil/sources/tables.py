@@ -8,6 +8,10 @@ by removing what neither the current nor the previous list names, such as the fo
 that was cut short. A reader may thus finish on the table that the last write has replaced,
 but not on one before.
 
+Flags that are merged into a history are not written into its days. They are folders
+``f=<id>/event_date=<day>`` of reference numbers and flags, which the list names beside the days
+and a reader joins. ``compact_history`` folds them in, and puts the parts of a day together.
+
 A folder without ``_current`` is read as plain Parquet; its first change writes it as a version.
 """
 
@@ -15,14 +19,19 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from txvigil.operators.flags import add_missing_flags, fill_flags, normalise_flags
-from txvigil.schema import ACCOUNT, AT, EVENT_DATE
+from txvigil.schema import ACCOUNT, AT, EVENT_DATE, FLAG_TYPE, REF
 from txvigil.sources.files import children, exists, read_text, remove, replace_text
 
-_POINTER, _VERSION = "_current", "v"
+_POINTER, _VERSION, _FLAGS = "_current", "v", "f"
+_OURS = (f"{_VERSION}=", f"{_FLAGS}=")
+# Spark's name for the folder of rows without a day.
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -37,11 +46,39 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType.fromJson(pointer["schema"])
     if not pointer["parts"]:
         return spark.createDataFrame([], schema)
-    # Only folders that are listed are read; they are told by the first part of their name.
-    typed = T.StructType([*schema.fields, T.StructField(_VERSION, T.StringType())])
+    rows = _read_parts(spark, path, pointer["parts"], schema, _VERSION)
+    return _with_flags(spark, path, pointer, rows) if pointer.get("flags") else rows
+
+
+def _read_parts(
+    spark: SparkSession, path: str, parts: list[str], schema: T.StructType, kind: str
+) -> DataFrame:
+    """Only folders that are listed are read; they are told by the first part of their name."""
+    typed = T.StructType([*schema.fields, T.StructField(kind, T.StringType())])
     rows = spark.read.schema(typed).option("basePath", path)
-    rows = rows.parquet(*[f"{path}/{part}" for part in pointer["parts"]])
-    return rows.select(*schema.names)
+    return rows.parquet(*[f"{path}/{part}" for part in parts]).select(*schema.names)
+
+
+def _with_flags(spark: SparkSession, path: str, pointer: dict, rows: DataFrame) -> DataFrame:
+    """Sets the flags that were merged since the days were written.
+
+    They are a row per number and day, so a reader that takes no flags does without the join.
+    """
+    names = pointer["flag_columns"]
+    fields = [T.StructField(name, FLAG_TYPE) for name in names]
+    key = [T.StructField(REF, T.StringType()), T.StructField(EVENT_DATE, T.DateType())]
+    hits = _read_parts(spark, path, pointer["flags"], T.StructType([*fields, *key]), _FLAGS)
+    # No day is a day of its own; Spark then knows the keys to be unique.
+    day = F.coalesce(EVENT_DATE, F.lit("0001-01-01").cast("date"))
+    hits = hits.groupBy(F.col(REF).alias("_ref"), day.alias("_day")).agg(
+        *[F.max(name).alias(f"_hit_{name}") for name in names]
+    )
+    same = (F.col(REF) == F.col("_ref")) & (day == F.col("_day"))
+    merged = {
+        name: F.when(F.col(f"_hit_{name}") == 1, F.lit(1)).otherwise(F.col(name)).cast(FLAG_TYPE)
+        for name in names
+    }
+    return rows.join(hits, same, "left").withColumns(merged).select(rows.columns)
 
 
 def read_history(spark: SparkSession, path: str, flags: list[str]) -> DataFrame:
@@ -50,6 +87,20 @@ def read_history(spark: SparkSession, path: str, flags: list[str]) -> DataFrame:
     return fill_flags(add_missing_flags(rows, flags), flags)
 
 
+def parts_by_day(spark: SparkSession, path: str) -> dict[str, date | None] | None:
+    """The folders that rows of a history came in, with their days; None for plain Parquet.
+
+    A folder that was made of others with the same rows counts as these.
+    """
+    pointer = _pointer(spark, path)
+    if pointer is None:
+        return None
+    sources = pointer.get("sources", {})
+    parts = [old for part in pointer["parts"] for old in sources.get(part, [part])]
+    days = {part: part.split("=")[-1] for part in parts}
+    return {part: None if day == _NO_DAY else date.fromisoformat(day) for part, day in days.items()}
+
+
 def _pointer(spark: SparkSession, path: str) -> dict | None:
     text = read_text(spark, f"{path}/{_POINTER}")
     return None if text is None else json.loads(text)
@@ -60,15 +111,29 @@ def _plain(spark: SparkSession, path: str) -> bool:
     if not exists(spark, path):
         return False
     names = children(spark, path, folders=False)
-    return any(not name.startswith((f"{_VERSION}=", "_", ".")) for name in names)
+    return any(not name.startswith((*_OURS, "_", ".")) for name in names)
 
 
 def _publish(
-    spark: SparkSession, path: str, parts: list[str], schema: T.StructType, before: dict | None
+    spark: SparkSession,
+    path: str,
+    parts: list[str],
+    schema: T.StructType,
+    before: dict | None,
+    flags: Sequence[str] = (),
+    flag_columns: Sequence[str] = (),
+    same_rows: Mapping[str, list[str]] | None = None,
 ) -> None:
-    pointer = {"parts": parts, "schema": schema.jsonValue(), "before": []}
+    """``same_rows`` names the parts whose rows a new part holds once more."""
+    pointer = {"parts": parts, "flags": list(flags), "flag_columns": list(flag_columns)}
+    pointer |= {"schema": schema.jsonValue(), "before": [], "sources": {}}
     if before is not None:
-        pointer["before"] = before["parts"]
+        pointer["before"] = [*before["parts"], *before.get("flags", [])]
+        known = before.get("sources", {})
+        for part, sources in (same_rows or {}).items():
+            known = known | {part: [old for source in sources for old in known.get(source, [source])]}
+        current = set(parts)
+        pointer["sources"] = {part: sources for part, sources in known.items() if part in current}
     replace_text(spark, f"{path}/{_POINTER}", json.dumps(pointer))
 
 
@@ -78,13 +143,13 @@ def _tidy(spark: SparkSession, path: str) -> dict | None:
     if pointer is None:
         if exists(spark, path):
             for name in children(spark, path):
-                if name.startswith(f"{_VERSION}="):
+                if name.startswith(_OURS):
                     remove(spark, f"{path}/{name}")
         return None
-    named = {*pointer["parts"], *pointer["before"]}
+    named = {*pointer["parts"], *pointer["before"], *pointer.get("flags", [])}
     versions = {part.split("/")[0] for part in named}
     for name in children(spark, path):
-        if name.startswith(f"{_VERSION}=") and name not in versions:
+        if name.startswith(_OURS) and name not in versions:
             remove(spark, f"{path}/{name}")
         elif name in versions and name not in named:
             for day in children(spark, f"{path}/{name}"):
@@ -103,8 +168,8 @@ def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
     return rows.observe(written, F.count("*").alias("rows")), written
 
 
-def _version() -> str:
-    return f"{_VERSION}={uuid.uuid4().hex}"
+def _version(kind: str = _VERSION) -> str:
+    return f"{kind}={uuid.uuid4().hex}"
 
 
 def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -182,10 +247,12 @@ def append_history(rows: DataFrame, path: str) -> int:
     spark = rows.sparkSession
     before = _versioned(spark, path)
     parts, written, schema = _write_days(rows, path)
-    if before is not None:
-        schema = _merged(T.StructType.fromJson(before["schema"]), schema)
-        parts = [*before["parts"], *parts]
-    _publish(spark, path, parts, schema, before)
+    if before is None:
+        _publish(spark, path, parts, schema, None)
+        return written
+    schema = _merged(T.StructType.fromJson(before["schema"]), schema)
+    parts = [*before["parts"], *parts]
+    _publish(spark, path, parts, schema, before, *_flags_of(before))
     return written
 
 
@@ -200,6 +267,10 @@ def replace_history(rows: DataFrame, path: str) -> int:
 
 def replace_days(rows: DataFrame, path: str) -> int:
     """Replaces those days of the history that occur in the rows."""
+    return _replace_days(rows, path, same_rows=False)
+
+
+def _replace_days(rows: DataFrame, path: str, same_rows: bool) -> int:
     spark = rows.sparkSession
     before = _versioned(spark, path)
     if before is None:
@@ -207,11 +278,68 @@ def replace_days(rows: DataFrame, path: str) -> int:
     parts, written, schema = _write_days(rows, path)
     days = {part.split("/")[1] for part in parts}
     kept = [part for part in before["parts"] if part.split("/")[1] not in days]
+    flags, columns = _flags_of(before)
+    flags = [part for part in flags if part.split("/")[1] not in days]
     schema = _merged(T.StructType.fromJson(before["schema"]), schema)
-    _publish(spark, path, [*kept, *parts], schema, before)
+    sources = {}
+    if same_rows:
+        old = _per_day(before["parts"])
+        sources = {part: old.get(part.split("/")[1], []) for part in parts}
+    _publish(spark, path, [*kept, *parts], schema, before, flags, columns, sources)
     return written
 
 
+def append_flags(hits: DataFrame, path: str) -> int:
+    """Merges flags into the history without writing any of its days.
+
+    ``hits`` has a reference number, its day, and one 0/1 column per flag.
+    """
+    spark = hits.sparkSession
+    before = _versioned(spark, path)
+    names = [c for c in hits.columns if c not in (REF, EVENT_DATE)]
+    version = _version(_FLAGS)
+    rows, written = _counted(hits.select(REF, *names, EVENT_DATE).hint("rebalance", EVENT_DATE))
+    rows.write.option("compression", "zstd").partitionBy(EVENT_DATE).parquet(f"{path}/{version}")
+    flags, columns = _flags_of(before)
+    new = [f"{version}/{day}" for day in children(spark, f"{path}/{version}")]
+    schema = T.StructType.fromJson(before["schema"])
+    last = [field for field in schema.fields if field.name == EVENT_DATE]
+    first = [field for field in schema.fields if field.name != EVENT_DATE]
+    added = [T.StructField(name, FLAG_TYPE) for name in names if name not in schema.names]
+    schema = T.StructType([*first, *added, *last])
+    _publish(spark, path, before["parts"], schema, before, [*flags, *new], sorted({*columns, *names}))
+    return written.get["rows"]
+
+
+def compact_history(spark: SparkSession, path: str, at_least: int = 2) -> int:
+    """Writes days anew that are in so many pieces, parts and flags; returns how many days.
+
+    The rows stay the same, the flags are folded in, and readers see the old or the new folders.
+    """
+    before = _versioned(spark, path)
+    if before is None:
+        return 0
+    pieces = _per_day([*before["parts"], *_flags_of(before)[0]])
+    days = [day.split("=")[1] for day, parts in pieces.items() if len(parts) >= at_least]
+    if days:
+        chosen = F.col(EVENT_DATE).isin([date.fromisoformat(day) for day in days if day != _NO_DAY])
+        if _NO_DAY in days:
+            chosen = chosen | F.col(EVENT_DATE).isNull()
+        _replace_days(read_table(spark, path).filter(chosen), path, same_rows=True)
+    return len(days)
+
+
+def _flags_of(pointer: dict) -> tuple[list[str], list[str]]:
+    return pointer.get("flags", []), pointer.get("flag_columns", [])
+
+
+def _per_day(parts: Sequence[str]) -> dict[str, list[str]]:
+    days: dict[str, list[str]] = {}
+    for part in parts:
+        days.setdefault(part.split("/")[1], []).append(part)
+    return days
+
+
 def _versioned(spark: SparkSession, path: str) -> dict | None:
     """The current list of a history, after writing plain Parquet as a version."""
     before = _tidy(spark, path)
