@@ -296,3 +296,15 @@ def test_components(spark):
     links = spark.createDataFrame(chain, "a long, b long")
     found = {r.node: r.component for r in components(links).collect()}
     assert found == {**{i: 0 for i in range(41)}, 98: 98, 99: 98, 100: 98, 50: 50, 51: 50}
+
+
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    """A chain of 30 hosts, each linking to the next, the last one to a blocked host."""
+    hosts = [f"h{n}.test" for n in range(30)] + ["bad.test"]
+    rows = [(n, f"http://{a}/x", f'<a href="http://{b}/">x</a>', True) for n, (a, b) in enumerate(zip(hosts, hosts[1:]))]
+    rows.append((99, "http://bad.test/no/", None, False))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, blocked boolean")
+    found = urls.judged(pages, (urls.UrlRule("block", "bad.test", "/no/"),))
+    assert {r.verdict for r in found.collect()} == {"block"}
+    assert {r.page_id: r.blocked for r in found.collect()} == {row[0]: row[3] for row in rows}
+    assert urls.judged(pages.filter("false")).count() == 0

@@ -134,8 +134,8 @@ WITH cut AS (
     UNION ALL SELECT kind, host, 0.15::DOUBLE * seed FROM seeds
   ) GROUP BY kind, host)"""
     return start + f""", verdicts AS (
-  SELECT host, round(coalesce(sum(score) FILTER (kind = 'block'), 0), 9)
-    > round(coalesce(sum(score) FILTER (kind = 'allow'), 0), 9) AS blocked
+  SELECT host, coalesce(sum(score) FILTER (kind = 'block'), 0)
+    > coalesce(sum(score) FILTER (kind = 'allow'), 0) * (1 + 1e-9) AS blocked
   FROM r{rounds} GROUP BY host
 )
 SELECT page_id, p.host, path, rule,

@@ -17,11 +17,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from txvigil.llm.common import discard, stored
 
 DAMPING = 0.85
+# The rounds there are at least; there are more as long as they reach hosts.
 ROUNDS = 10
 # Distrust has to exceed trust by this share of it, far above what the order of additions can
 # change; scores shrink with the number of pages, so no absolute difference would do.
 MARGIN = 1e-9
 _STORE_EVERY = 5
+_BLOCKED = "_host_is_blocked"
 
 _URL = r"://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?(//[^/?#"'\s>]+)"""
@@ -106,7 +108,8 @@ def seeds(pages: DataFrame) -> DataFrame:
 
 
 def propagated(edges: DataFrame, seed: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING):
-    """(kind, host, score) after ``rounds`` of propagation from the seeds.
+    """(kind, host, score) after ``rounds`` of propagation from the seeds, or as many as it takes
+    until no further host is reached, so that no distance from a seed is too far.
 
     Both kinds move in one join: trust along the edges, distrust against them. Each round
     adds up per host before the shuffle; the scores of a hub are one row, so an uneven join
@@ -124,19 +127,25 @@ def propagated(edges: DataFrame, seed: DataFrame, rounds: int = ROUNDS, damping:
     )
     start = stored(seed)
     scores = start.withColumnRenamed("seed", "score")
-    kept = None
-    for number in range(rounds):
+    kept, reached, number = None, 0, 0
+    while True:
         moved = scores.join(shares, ["kind", "host"]).select(
             "kind", F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
         )
         again = start.select("kind", "host", ((1 - damping) * F.col("seed")).alias("score"))
         scores = moved.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (number + 1) % _STORE_EVERY == 0 or number + 1 == rounds:
-            scores, before = stored(scores), kept
-            kept = scores
-            if before is not None:
-                discard(before)
-    return scores
+        number += 1
+        if number % _STORE_EVERY and number != rounds:
+            continue
+        scores, before = stored(scores), kept
+        kept = scores
+        if before is not None:
+            discard(before)
+        # A round keeps all hosts that the one before has reached from a seed.
+        found = scores.count()
+        if number >= rounds and found == reached:
+            return scores
+        reached = found
 
 
 def host_verdicts(scores: DataFrame) -> DataFrame:
@@ -154,16 +163,17 @@ def judged(
     """Adds host, path, rule and verdict to all pages; columns of these names are replaced.
 
     A host that nothing has reached is allowed. Null URLs and URLs without host have no
-    host to judge by and are allowed too. Repeated pages are judged alike.
+    host to judge by and are allowed too. Repeated pages are judged alike. Other columns stay as
+    they are, except one named as ``_BLOCKED``, which is dropped. An empty table stays empty.
     """
-    own = ("host", "path", "rule", "ruling", "verdict")
+    own = ("host", "path", "rule", "ruling", "verdict", _BLOCKED)
     pages = ruled(split_url(pages.drop(*[c for c in own if c not in (url, html)]), url), rules)
     scores = propagated(host_edges(pages, html), seeds(pages))
-    verdicts = host_verdicts(scores)
-    blocked = F.coalesce("blocked", F.lit(False))
+    verdicts = host_verdicts(scores).withColumnRenamed("blocked", _BLOCKED)
+    blocked = F.coalesce(_BLOCKED, F.lit(False))
     other = F.when(blocked, "block").otherwise("allow")
     return (
         pages.join(verdicts, "host", "left")
         .withColumn("verdict", F.coalesce("ruling", other))
-        .drop("ruling", "blocked")
+        .drop("ruling", _BLOCKED)
     )
