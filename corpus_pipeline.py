@@ -16,10 +16,17 @@ WORDS, THRESHOLD = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules themselves and are on a host that mostly does."""
-    measured = quality.measured(docs)
+    """Documents that pass the rules themselves and are on a host that mostly does.
+
+    Null and empty texts fail; documents without a source are on one host; equal rows are
+    judged alike. Columns of any name keep their values. An empty table stays empty.
+    """
+    other = [c for c in docs.columns if c not in ("text", "source")]
+    own = {c: f"_own_{number}" for number, c in enumerate(other)}
+    measured = quality.measured(docs.withColumnsRenamed(own))
     rates = stored(quality.host_rates(measured.select("source", "base_failed")))
-    return quality.with_verdicts(measured, rates).filter("kept").select(docs.columns)
+    kept = quality.with_verdicts(measured, rates).filter("kept")
+    return kept.select([F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,16 +39,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    An id stands for one document; of rows that repeat an id one stays.
+    Rows are told apart by a number of their own, so texts that share an id, or have none, are
+    grouped by what they say; a row without id stays only where no other of its group has one.
+    Rows without words are like no other and stay. An empty table stays empty.
     """
-    groups = stored(jaccard.grouped(docs, words=WORDS, threshold=THRESHOLD))
-    others = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(beside(stored(others)), "doc_id", "left_anti")
-    again = groups.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
-    again = beside(stored(again))
-    same = F.col("doc_id").eqNullSafe(F.col("_again"))
-    once = left.join(again, same, "left_anti")
-    return once.unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    row = next(name for name in ("_row", "_row_number", "_row_of_stage") if name not in docs.columns)
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    texts = numbered.select(F.col(row).alias("doc_id"), "text")
+    groups = stored(jaccard.grouped(texts, words=WORDS, threshold=THRESHOLD))
+    # Few rows are in a group with others; only of these the ids are looked up.
+    alone = F.col("n") == 1
+    sizes = groups.groupBy("component_id").agg(F.count("*").alias("n"))
+    shared = groups.join(sizes.filter(~alone).select("component_id"), "component_id")
+    named = shared.select(F.col("doc_id").alias(row), "component_id").join(numbered.select(row, "doc_id"), row)
+    first = F.min_by(F.col(row), F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first")
+    firsts = named.groupBy("component_id").agg(first)
+    others = named.join(firsts, "component_id").filter(F.col(row) != F.col("first")).select(row)
+    return numbered.join(beside(stored(others)), row, "left_anti").select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,28 @@ def test_pipeline(spark):
             assert docs.columns == columns
     assert kept[0] > kept[1] > 0
     assert corpus_pipeline.run(spark, FOLDER).count() == docs.count()
+
+
+def test_near_duplicates_goes_by_rows(spark):
+    """Rows that share an id or have none are kept unless their own text is a near copy."""
+    text = " ".join(f"word{n}" for n in range(60))
+    other = " ".join(f"other{n}" for n in range(60))
+    rows = [(None, "a one", 1), (None, "two of these", 2), (5, text, 3), (5, other, 4), (3, text + " end", 5),
+            (None, other, 6), (7, None, 7), (8, "", 8), (9, text, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int")
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(r._row for r in kept.collect()) == [1, 2, 4, 5, 7, 8]
+    assert corpus_pipeline.near_duplicates(spark, docs.filter("false"), FOLDER).count() == 0
+
+
+def test_quality_rules_keep_columns_of_any_name(spark):
+    text = " ".join(f"word{n}" for n in range(80))
+    docs = spark.createDataFrame(
+        [(n, text, "a", 5, "x", True) for n in range(20)] + [(99, "few words", "a", 6, "y", False), (98, None, None, 7, "z", True)],
+        "doc_id long, text string, source string, n_words int, kept string, base_failed boolean",
+    )
+    kept = corpus_pipeline.quality_rules(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect()) == sorted(docs.filter("doc_id < 20").collect())
+    assert corpus_pipeline.quality_rules(spark, docs.filter("false"), FOLDER).count() == 0
