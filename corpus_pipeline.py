@@ -44,7 +44,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows without words are like no other and stay. An empty table stays empty.
     """
     row = next(name for name in ("_row", "_row_number", "_row_of_stage") if name not in docs.columns)
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    # What the stage before has shuffled is not needed any more; it may be large.
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), free=True)
     texts = numbered.select(F.col(row).alias("doc_id"), "text")
     groups = stored(jaccard.grouped(texts, words=WORDS, threshold=THRESHOLD))
     # Few rows are in a group with others; only of these the ids are looked up.
