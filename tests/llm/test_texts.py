@@ -92,6 +92,31 @@ def test_lines_of_odd_rows(odd, none):
     assert lines.deduped(none).collect() == []
 
 
+def test_lines_beside_columns_of_any_name(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c d e\nx", 7, "k"), (2, "a b c d e\ny", 8, "l")], "doc_id long, text string, _doc int, _lines string"
+    )
+    found = {(r.doc_id, r.text, r._doc, r._lines) for r in lines.deduped(docs).collect()}
+    assert found == {(1, "a b c d e\nx", 7, "k"), (2, "y", 8, "l")}
+
+
+def test_levels_of_words(spark):
+    docs = spark.createDataFrame([("a b a",), ("a c\na a a a",), (None,), ("",)], "text string")
+    levels = lines.word_levels(docs, "text")
+    numbers = docs.select(lines.by_rarity(F.col("text"), levels).alias("w")).collect()
+    assert [[w >> 57 for w in r.w or ()] for r in numbers] == [[1, 3], [1, 3], [], []]
+
+
+def test_crowd_around_a_line_that_is_not_the_first(spark):
+    """Lines that share a rare word with an unlike earlier one still meet each other."""
+    base = [f"c{i}" for i in range(20)]
+    docs = [(0, " ".join(["rare", *(f"o{i}" for i in range(20))]))]
+    for doc in range(1, 40):
+        docs.append((doc, " ".join(["rare", *base[:doc % 20], *base[doc % 20 + 1:], f"u{doc}"])))
+    found = lines.duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {(r.doc, i) for r in found.collect() for i in r.lines} == removed_lines(docs)
+
+
 # Jaccard join
 
 

@@ -2,25 +2,27 @@
 
 A line is the set of its words. It goes if an earlier line (by document id, then line
 number) has a Jaccard similarity of at least ``THRESHOLD`` percent, whether or not that one
-goes too. Words are ordered by rarity; two similar lines share one of their first few words
-(prefix filter), near enough to the front (positional filter), and have nearly as many words
-(length filter). What passes is verified on the words themselves.
-
-Equal lines are put together before anything is joined. In a bucket of lines that share a
-rare word, all are first compared with the earliest one; only lines that this does not
-remove are then compared with the rest, so a large group of near copies makes no pairs.
+goes too. Words are ordered by rarity; the rarest word two similar lines share is one of the
+first few of both (prefix filter), so near to the front that enough words can follow
+(positional filter), and they have nearly as many words (length filter). What passes is
+verified on the words themselves.
+
+Equal lines are put together before anything is joined. Words that occur once in all texts
+make no rows. Lines that share a prefix word are first compared with the earliest of them;
+only lines that this does not remove are then compared with the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from txvigil.llm.common import beside, discard, stored
 
 THRESHOLD = 80
-# Entries of the table of word counts. All words are counted, by hash: a rare word may look
-# more frequent than it is, which costs candidates, never results.
-COUNTERS = 1 << 16
+# The table of word counts has 2 ** SLOT_BITS slots of a byte, in chunks of 2 ** CHUNK_BITS. All
+# words are counted, by hash: a rare word may look more frequent than it is, which costs
+# candidates, never results.
+SLOT_BITS, CHUNK_BITS = 22, 12
 _NULL = -(1 << 63)
 _SPACE = r"[\x20\x09-\x0D]+"
 _PLACE = ("doc", "line")
@@ -30,6 +32,14 @@ def words(content: Column) -> Column:
     return F.array_remove(F.split(content, _SPACE), "")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, longer if a column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def split_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, line, content) of every line; a null id is the smallest one."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL))
@@ -37,33 +47,50 @@ def split_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(key.alias("doc"), lines)
 
 
+def _slot(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, 64 - SLOT_BITS).cast("int")
+
+
 def word_levels(docs: DataFrame, text: str) -> Column:
-    """Logarithm of the count of each slot of words: a constant array of fixed size."""
+    """Logarithm of the count of each slot of words: a constant of a byte each, of fixed size.
+
+    Every chunk of the table is put together where it is counted, as a text of digits from "0" on.
+    """
     word = F.explode(F.split(F.col(text), _SPACE)).alias("word")
-    slot = F.shiftrightunsigned(F.xxhash64("word"), 48).alias("slot")
-    counts = dict(docs.select(word).groupBy(slot).count().collect())
-    levels = ",".join(str(counts.get(i, 0).bit_length()) for i in range(COUNTERS))
-    return F.split(F.lit(levels), ",").cast("array<int>")
+    counts = docs.select(word).groupBy(_slot(F.xxhash64("word")).alias("slot")).count()
+    level = F.length(F.bin("count")).cast("int")
+    place = F.col("slot").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
+    used = F.sort_array(F.collect_list(F.struct(place.alias("at"), level.alias("level"))))
+    chunks = counts.groupBy(F.shiftright("slot", CHUNK_BITS).alias("chunk")).agg(used.alias("used"))
+
+    def digits(entry: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get("used", i - 1)["at"]).otherwise(F.lit(-1))
+        return F.concat(F.repeat(F.lit("0"), entry["at"] - before - 1), F.char(entry["level"] + 48))
+
+    packed = F.rpad(F.array_join(F.transform("used", digits), ""), 1 << CHUNK_BITS, "0")
+    found = {row.chunk: row.packed for row in chunks.select("chunk", packed.alias("packed")).collect()}
+    none = "0" * (1 << CHUNK_BITS)
+    table = "".join(found.get(i, none) for i in range(1 << (SLOT_BITS - CHUNK_BITS)))
+    return F.lit(bytearray(table.encode()))
 
 
 def by_rarity(content: Column, levels: Column) -> Column:
     """Distinct words of a line as numbers, rarest first.
 
-    Rarity is the level of the word's count and, among equals, its length (long words are
-    the rarer ones); the hash breaks ties and tells words apart.
+    Rarity is the level of the word's count; the hash breaks ties and tells words apart.
     """
 
-    def number(word: Column) -> Column:
-        hashed = F.xxhash64(word)
-        level = F.coalesce(F.get(levels, F.shiftrightunsigned(hashed, 48).cast("int")), F.lit(0))
-        short = F.lit(63) - F.least(F.length(word), F.lit(63))
-        return (
-            F.shiftleft(level.cast("long"), 57)
-            .bitwiseOR(F.shiftleft(short.cast("long"), 51))
-            .bitwiseOR(hashed.bitwiseAND(F.lit((1 << 51) - 1)))
-        )
+    def number(hashed: Column) -> Column:
+        level = F.ascii(F.substring(levels, _slot(hashed) + 1, 1).cast("string")) - 48
+        return F.shiftleft(level.cast("long"), 57).bitwiseOR(hashed.bitwiseAND(F.lit((1 << 57) - 1)))
+
+    hashes = F.transform(words(content), lambda word: F.xxhash64(word))
+    return F.sort_array(F.array_distinct(F.transform(hashes, number)))
+
 
-    return F.sort_array(F.array_distinct(F.transform(words(content), number)))
+def repeated(word: Column) -> Column:
+    """Whether another line may have this prefix word: not if it occurs once in all texts."""
+    return (word < 0) | (F.shiftright(word, 57) > 1)
 
 
 def prefix_length(n: Column, threshold: int) -> Column:
@@ -89,21 +116,19 @@ def _bit(word: Column) -> Column:
 
 
 def candidates(rows: DataFrame, threshold: int) -> DataFrame:
-    """(a_doc, a_line, b_doc, b_line) of pairs that share enough of their prefixes.
+    """(a_doc, a_line, b_doc, b_line) of pairs that may be similar.
 
-    Rows are pairs, once for each prefix word they share. All common words up to the end of
-    the shorter-reaching prefix are in both, so what is not counted here is no more than the
-    words after that prefix.
+    Rows are pairs, once for each prefix word they share, with its place in both. The first
+    word a similar pair shares passes the positional filter, so one of its rows is kept.
     """
     a, b = F.col("a_n"), F.col("b_n")
     alike = 100 * F.least(a, b) >= threshold * F.greatest(a, b)
+    most = F.least(a - F.col("a_at"), b - F.col("b_at"))
+    alike = alike & ((100 + threshold) * most >= threshold * (a + b))
     # The sets differ in at least as many words as their parities in bits.
     differ = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
     alike = alike & ((100 + threshold) * differ <= (100 - threshold) * (a + b))
-    counted = rows.filter(alike).groupBy("a_doc", "a_line", "b_doc", "b_line", "a_n", "b_n")
-    rest = F.greatest(a - prefix_length(a, threshold), b - prefix_length(b, threshold))
-    enough = (100 + threshold) * (F.col("count") + rest) >= threshold * (a + b)
-    return counted.count().filter(enough).select("a_doc", "a_line", "b_doc", "b_line")
+    return rows.filter(alike).select("a_doc", "a_line", "b_doc", "b_line").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
@@ -150,34 +175,37 @@ def duplicates(
         F.first(F.struct("n", "bits", "prefix")).alias("signed"),
     )
     once = stored(once.select("h", "g", "place.*", "times", "signed.*"), free=True)
-    # Buckets of one line make no pairs; in the others every line also sees the earliest.
-    own = (*_PLACE, "n", "bits")
-    rows = once.select(F.explode("prefix").alias("word"), *own)
-    bucket = Window.partitionBy("word")
-    rows = rows.withColumn("hub", F.min(F.struct(*own)).over(bucket)).withColumn(
-        "rows", F.count("*").over(bucket)
+    own = (*_PLACE, "at", "n", "bits")
+    rows = once.select(F.posexplode("prefix").alias("at", "word"), *_PLACE, "n", "bits")
+    rows = rows.filter(repeated(F.col("word")))
+    # Words of one line make no pairs; lines of the others also see the earliest.
+    hubs = rows.groupBy("word").agg(F.min(F.struct(*own)).alias("hub"), F.count("*").alias("rows"))
+    hubs = hubs.filter("rows > 1").select(
+        F.col("word"), "rows", *[F.col(f"hub.{c}").alias(f"a_{c}") for c in own]
     )
-    hub = [F.col(f"hub.{c}").alias(f"a_{c}") for c in own]
-    shared = stored(rows.filter("rows > 1").select("word", *own, *hub), free=True)
+    hubs = stored(hubs, free=True)
+    earlier = F.struct("a_doc", "a_line") < F.struct("b_doc", "b_line")
+    shared = stored(rows.join(hubs, "word").filter(F.struct("a_doc", "a_line") < F.struct(*_PLACE)), free=True)
+    discard(hubs)
     full, once = once, stored(once.drop("prefix"))
     discard(full)
-    earlier = F.struct("a_doc", "a_line") < F.struct("b_doc", "b_line")
-    first = shared.withColumnsRenamed({c: f"b_{c}" for c in own}).filter(earlier)
+    first = shared.withColumnsRenamed({c: f"b_{c}" for c in own})
     first = stored(candidates(first, threshold), free=True)
     gone = verified(first, docs, doc_id, text, threshold)
 
-    # Lines that are gone need no further match: as later ones their size is below zero, so
-    # that no size is near it. Both sides of the join are one table and shuffled once.
-    marked = gone.withColumn("gone", F.lit(True))
-    left = shared.select("word", *own).join(beside(marked), [*_PLACE], "left")
-    size = F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n"))
-    left = left.select("word", *_PLACE, size.alias("n"), "bits")
-    pairs = left.alias("a").join(left.alias("b"), F.col("a.word") == F.col("b.word"))
-    pairs = pairs.select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("a", "b") for c in own])
-    pairs = pairs.withColumn("a_n", F.abs("a_n"))
+    # What is compared now has not been with the earliest line: words of three lines or more.
+    # Lines that are gone need no further match, so they are no later ones.
+    left = shared.filter("rows > 2").select("word", *own)
+    after = left.join(beside(gone), [*_PLACE], "left_anti")
+    sides = [
+        rows.withColumnsRenamed({c: f"{side}_{c}" for c in own})
+        for side, rows in (("a", left), ("b", after))
+    ]
+    pairs = sides[0].join(sides[1], "word")
     more = candidates(pairs.filter(earlier), threshold)
     more = stored(more.join(first, first.columns, "left_anti"), free=True)
     gone = stored(gone.union(verified(more, docs, doc_id, text, threshold)).distinct())
+    discard(shared)
 
     repeats = once.select("h", "g", *_PLACE, "times").join(
         beside(gone.withColumn("gone", F.lit(True))), [*_PLACE], "left"
@@ -196,13 +224,18 @@ def duplicates(
 def deduped(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD
 ) -> DataFrame:
-    """All rows with their remaining lines, and ``n_lines`` and ``n_removed``."""
+    """All rows with their remaining lines, and ``n_lines`` and ``n_removed``.
+
+    A null text stays null and has no lines, an empty one has one line and stays; an empty
+    table stays empty. Further columns stay as they are, but for two of these two names.
+    """
     gone = duplicates(docs, doc_id, text, threshold)
+    doc, lost = unused("_doc", docs.columns), unused("_lines", docs.columns)
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL))
-    joined = docs.withColumn("_doc", key).join(beside(gone.toDF("_doc", "_lines")), "_doc", "left")
+    joined = docs.withColumn(doc, key).join(beside(gone.toDF(doc, lost)), doc, "left")
     lines = F.split(F.col(text), "\n")
     none = F.array().cast("array<int>")
-    removed = F.coalesce("_lines", none)
+    removed = F.coalesce(lost, none)
     kept = F.filter(lines, lambda _, i: ~F.array_contains(removed, i))
     return joined.withColumns(
         {
@@ -210,4 +243,4 @@ def deduped(
             "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
             "n_removed": F.size(removed).cast("long"),
         }
-    ).drop("_doc", "_lines")
+    ).drop(doc, lost)
