@@ -22,7 +22,7 @@ THRESHOLD = 80
 # The table of word counts has 2 ** SLOT_BITS slots of a byte, in chunks of 2 ** CHUNK_BITS. All
 # words are counted, by hash: a rare word may look more frequent than it is, which costs
 # candidates, never results.
-SLOT_BITS, CHUNK_BITS = 22, 12
+SLOT_BITS, CHUNK_BITS = 20, 12
 _NULL = -(1 << 63)
 _SPACE = r"[\x20\x09-\x0D]+"
 _PLACE = ("doc", "line")
