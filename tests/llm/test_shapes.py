@@ -103,6 +103,36 @@ def test_pages_of_odd_rows(spark):
     assert wrappers.extracted(pages.filter("false")).collect() == []
 
 
+def test_deep_pages(spark):
+    deep = "<div>" * 10_000 + "<nav>menu<div>deep</div></nav><p>%s</p>" + "tail</div>" * 10_000
+    pages = [(i, f"http://a.com/{i}", deep % f"story {i}") for i in range(2)]
+    found = wrappers.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {i: "\n".join([f"story {i}", *["tail"] * 10_000]) for i in range(2)}
+
+
+def test_blocks_below_the_deepest_node_keep_their_order():
+    inner = "<div>one<div>two</div>three<aside>never<p>never</p></aside></div><form>never<div>never</div></form>four"
+    for depth in (3, wrappers.DEPTH - 1, wrappers.DEPTH, wrappers.DEPTH + 1, 600):
+        assert text_of("<div>" * depth + inner) == "one\ntwo\nthree\nfour"
+
+
+def test_wide_pages():
+    def page(own, shift):
+        pairs = [f"<p>a{own} {k}</p><ul><li>b{own} {k}</ul>" for k in range(5000)]
+        return "<ul><li>first</ul>" * shift + "".join(pairs) + "<pre>same</pre>"
+
+    found = text_of(page(0, 1), *(page(i, i % 2) for i in range(1, 5)))
+    blocks = found.split("\n")
+    assert [b for b in blocks if b[0] in "ab"] == [f"{c}0 {k}" for k in range(5000) for c in "ab"]
+    assert "same" not in blocks
+
+
+def test_nearest_slots():
+    runs = [[wrappers.Node(tag)] for tag in ("p", "ul", "h2", "p", "pre", "p")]
+    slots = [wrappers.Slot(tag) for tag in ("p", "pre", "h2", "ul", "p", "ul", "p")]
+    assert wrappers._nearest(runs, slots) == [0, 3, None, 4, None, 6]
+
+
 # Chats
 
 
