@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txvigil.llm import jaccard, lines, mixing, packing, quality
-from txvigil.llm.common import beside, stored, table
+from txvigil.llm.common import beside, stored, table, unused
 
 # Near copies share this much of their runs of so many words.
 WORDS, THRESHOLD = 5, 80
@@ -30,7 +30,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines like earlier ones; those without any line left go."""
+    """Documents without lines like earlier ones; those without any line left go.
+
+    Null and empty texts lose nothing and stay; rows with the same id, or none, are one place,
+    and lose the same lines. An empty table stays empty.
+    """
     kept = lines.deduped(docs).filter("n_removed = 0 OR n_removed < n_lines AND text RLIKE '[^ \\t-\\r]'")
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", length).select(docs.columns)
@@ -43,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     grouped by what they say; a row without id stays only where no other of its group has one.
     Rows without words are like no other and stay. An empty table stays empty.
     """
-    row = next(name for name in ("_row", "_row_number", "_row_of_stage") if name not in docs.columns)
+    row = unused("_row", docs.columns)
     # What the stage before has shuffled is not needed any more; it may be large.
     numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), free=True)
     texts = numbered.select(F.col(row).alias("doc_id"), "text")
@@ -60,13 +64,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix of sources takes, as rows; none of some."""
-    taken, _ = mixing.mix(docs, F.array("source"))
-    copies = taken.filter("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    copies = beside(stored(copies.dropDuplicates(["_id"])))
-    mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    repeated = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return mixed.withColumn("_copy", repeated).select(docs.columns)
+    """As many copies of each document as the mix of sources takes, as rows; none of some.
+
+    Null and empty texts have no words, so nothing takes them; documents without a source are
+    one source. Rows with the same id, or none, are taken alike. An empty table stays empty.
+    """
+    key, times, copy = (unused(name, docs.columns) for name in ("_id", "_copies", "_copy"))
+    taken, _ = mixing.mix(docs.select("doc_id", "text", "source"), F.array("source"))
+    copies = taken.filter("copies > 0").select(F.col("doc_id").alias(key), F.col("copies").alias(times))
+    copies = beside(stored(copies.dropDuplicates([key])))
+    mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col(key)))
+    repeated = F.explode(F.array_repeat(F.lit(1), F.col(times).cast("int")))
+    return mixed.withColumn(copy, repeated).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,6 +85,23 @@ def test_near_duplicates_goes_by_rows(spark):
     assert corpus_pipeline.near_duplicates(spark, docs.filter("false"), FOLDER).count() == 0
 
 
+def test_line_dedup_and_source_mix_of_odd_rows(spark):
+    text = "a first line of words\nand a second one"
+    rows = [(1, text, "a", 30, 1, 2), (2, text + "\nmore", "b", 30, 3, 4), (3, None, None, None, 5, 6), (4, "", "a", 0, 7, 8),
+            (None, "without an id", "a", 13, 9, 10), (5, text, "b", 30, 11, 12)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, source string, n_chars long, copies int, _doc int"
+    )
+    kept = corpus_pipeline.line_dedup(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert {tuple(r) for r in kept.collect()} == {*rows[:1], *rows[2:5], (2, "more", "b", 4, 3, 4)}
+    mixed = corpus_pipeline.source_mix(spark, kept, FOLDER)
+    assert mixed.columns == docs.columns
+    assert {tuple(r) for r in mixed.collect()} <= {tuple(r) for r in kept.collect()}
+    for stage in (corpus_pipeline.line_dedup, corpus_pipeline.source_mix, corpus_pipeline.packing_stage):
+        assert stage(spark, docs.filter("false"), FOLDER).count() == 0
+
+
 def test_quality_rules_keep_columns_of_any_name(spark):
     text = " ".join(f"word{n}" for n in range(80))
     docs = spark.createDataFrame(

@@ -75,6 +75,14 @@ def with_columns(
     return rows.mapInArrow(batches, T.StructType([*rows.schema.fields, *new.fields]))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, longer if a column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def one_row(rows: DataFrame, single: DataFrame) -> DataFrame:
     """Adds the columns of a table of exactly one row, an aggregate without keys."""
     key: Column = F.lit(1).alias("_one")

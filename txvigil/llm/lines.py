@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txvigil.llm.common import beside, discard, stored
+from txvigil.llm.common import beside, discard, stored, unused
 
 THRESHOLD = 80
 # The table of word counts has 2 ** SLOT_BITS slots of a byte, in chunks of 2 ** CHUNK_BITS. All
@@ -32,14 +32,6 @@ def words(content: Column) -> Column:
     return F.array_remove(F.split(content, _SPACE), "")
 
 
-def unused(name: str, columns: list[str]) -> str:
-    """The name, longer if a column has it."""
-    taken = {c.lower() for c in columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def split_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, line, content) of every line; a null id is the smallest one."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL))

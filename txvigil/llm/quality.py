@@ -10,7 +10,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from txvigil.llm.common import one_row, with_columns
+from txvigil.llm.common import one_row, unused, with_columns
 
 MIN_WORDS = 50
 MAX_REPEATED = 50
@@ -109,11 +109,11 @@ def with_verdicts(
 ) -> DataFrame:
     """Adds ``kept``: false where a document fails itself or its host is rejected.
 
-    The host's rate comes back by an equi-join with one row per host; null hosts match.
+    The host's rate comes back by an equi-join with one row per host; null hosts match. A host
+    without a rate rejects nothing; a column ``kept`` is replaced; an empty table stays empty.
     """
-    verdicts = rates.select(
-        F.col("host").alias("_host"), (F.col("rate") <= max_rate).alias("_host_kept")
-    )
-    joined = docs.join(verdicts, F.col(host).eqNullSafe(F.col("_host")), "left")
-    kept = ~F.col("base_failed") & F.coalesce("_host_kept", F.lit(True))
-    return joined.withColumn("kept", kept).drop("_host", "_host_kept")
+    own, good = unused("_host", docs.columns), unused("_host_kept", docs.columns)
+    verdicts = rates.select(F.col("host").alias(own), (F.col("rate") <= max_rate).alias(good))
+    joined = docs.join(verdicts, F.col(host).eqNullSafe(F.col(own)), "left")
+    kept = ~F.col("base_failed") & F.coalesce(good, F.lit(True))
+    return joined.withColumn("kept", kept).drop(own, good)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from txvigil.llm.common import with_columns
+from txvigil.llm.common import unused, with_columns
 
 K = 16
 WINDOW = 32
@@ -120,6 +120,7 @@ def next_rows(
         cuts = sorted({least, *_present(ids, cuts)})
     bounds = np.array(cuts, np.int64)
     columns = docs.columns
+    range_, guest_ = unused("_range", columns), unused("_guest", columns)
 
     def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = columns.index(key)
@@ -135,7 +136,7 @@ def next_rows(
             taken = part.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(to, pa.int64()), pa.array(guest, pa.bool_()), *taken.columns],
-                names=["_range", "_guest", *columns],
+                names=[range_, guest_, *columns],
             )
 
     def walk(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +146,7 @@ def next_rows(
         for part in parts:
             out = []
             for row in part.to_pylist():
-                here, guest = row.pop("_range"), row.pop("_guest")
+                here, guest = row.pop(range_), row.pop(guest_)
                 if here != place:
                     held, place, seen = None, here, False
                 if seen:
@@ -160,12 +161,12 @@ def next_rows(
     dealt = docs.mapInArrow(
         deal,
         T.StructType(
-            [T.StructField("_range", T.LongType()), T.StructField("_guest", T.BooleanType())]
+            [T.StructField(range_, T.LongType()), T.StructField(guest_, T.BooleanType())]
             + docs.schema.fields
         ),
     )
-    ordered = dealt.repartition(partitions, "_range").sortWithinPartitions(
-        "_range", "_guest", F.col(key).asc_nulls_first(), *[c for c in columns if c != key]
+    ordered = dealt.repartition(partitions, range_).sortWithinPartitions(
+        range_, guest_, F.col(key).asc_nulls_first(), *[c for c in columns if c != key]
     )
     kept = [f for f in docs.schema.fields if f.name not in drop]
     out_type = T.StructType([*kept, *T._parse_datatype_string(added).fields])
