@@ -1,6 +1,8 @@
 """The queries against their SQL, or brute force, on the smallest given tables."""
 
 import os
+import struct
+import zlib
 from collections import Counter
 
 import duckdb
@@ -44,6 +46,32 @@ def test_fingerprints_tell_texts_apart(spark):
     assert all(r.near_edited == 1 for r in rows if r.n_chars < 4)
 
 
+def test_packed_pieces_hold_all_ids(spark):
+    """Ids are read back from their checksums, by the tokenizer itself."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces, ends = {}, {}
+    for r in QUERIES["op9_packing"](spark, FOLDER).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+        ends.setdefault(r.sequence_id, []).append((r.offset, r.offset + r.length))
+    docs = corpus_pipeline.table(spark, FOLDER, "documents").select("doc_id", "text").collect()
+    assert sorted(pieces) == sorted(r.doc_id for r in docs)
+    for doc in docs:
+        ids = [*tokenizer.encode(doc.text or "", add_special_tokens=False).ids, 1]
+        at = 0
+        for piece in sorted(pieces[doc.doc_id], key=lambda r: r.start):
+            part = ids[at : at + piece.length]
+            assert (piece.start, piece.doc_tokens) == (at, len(ids))
+            assert piece.ids_crc32 == zlib.crc32(struct.pack(f"<{len(part)}I", *part))
+            at += piece.length
+        assert at == len(ids)
+    for places in ends.values():
+        places.sort()
+        assert [a for a, _ in places] == [0, *(b for _, b in places[:-1])] and places[-1][1] <= 2048
+
+
 def test_pipeline(spark):
     """Each stage keeps what it should of what the one before kept."""
     docs = corpus_pipeline.table(spark, FOLDER, "documents")
