@@ -19,24 +19,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from txvigil.llm.common import beside, stored
-from txvigil.llm.suffixes import repeated_starts
+from txvigil.llm.suffixes import repeated_places
 
 LENGTH = 50
 GRAM = 16
 # Bytes of a shard that are sorted at once; a single anchor may have more.
 SHARD = 8 << 20
 _NULL = -(1 << 63)
+_ANCHOR_SHIFT = np.uint64(24)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
-def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(hashes, first starts, last starts): per anchor, the strings that have it.
-
-    A string is given by where it starts. A run of starts with the same anchor is one entry,
-    so the entries cover every string of the text once.
-    """
-    if len(raw) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _gram_hashes(raw: bytes, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes, a power of two, from every place on."""
     data = np.frombuffer(raw, np.uint8).astype(np.uint64)
     # Double up: runs of 2, 4, 8, ... bytes from runs of half the size.
     width, hashes = 1, data + np.uint64(1)
@@ -45,7 +40,19 @@ def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
         hashes *= _ODD[1]
         hashes ^= hashes >> np.uint64(29)
         width *= 2
-    least = hashes >> np.uint64(24)
+    return hashes
+
+
+def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(hashes, first starts, last starts): per anchor, the strings that have it.
+
+    A string is given by where it starts. A run of starts with the same anchor is one entry,
+    so the entries cover every string of the text once.
+    """
+    if len(raw) < length:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes = _gram_hashes(raw, gram)
+    least = hashes >> _ANCHOR_SHIFT
     window, width = length - gram + 1, 1
     while width < window:
         step = min(width, window - width)
@@ -64,8 +71,53 @@ def _spans(firsts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return firsts[new], ends[np.r_[np.flatnonzero(new)[1:] - 1, len(ends) - 1]]
 
 
-def _runs(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    return _spans(starts, starts + length) if len(starts) else (starts, starts)
+def _runs(string: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(string, first, end) of the maximal runs that strings of ``length`` at these places cover."""
+    if not len(starts):
+        return string, starts, starts
+    new = np.r_[True, (string[1:] != string[:-1]) | (starts[1:] > starts[:-1] + length)]
+    return string[new], starts[new], starts[np.r_[np.flatnonzero(new)[1:] - 1, len(starts) - 1]] + length
+
+
+def may_repeat(
+    strings: list[bytes], anchor: np.ndarray, owners: np.ndarray, length: int = LENGTH, gram: int = GRAM
+) -> np.ndarray:
+    """Whether a string can share ``length`` bytes around its anchor with another owner's.
+
+    What they share has the anchor's run of bytes at the same place, so at least half of the
+    rest before it or half of it behind is shared as well. Only strings that agree in one of
+    these halves are worth sorting; nothing that repeats is left out.
+    """
+    raw = np.frombuffer(b"".join(strings), np.uint8)
+    half = (length - gram + 1) // 2
+    if half < gram or len(raw) < gram:
+        return np.ones(len(strings), bool)
+    hashes = _gram_hashes(raw.tobytes(), gram)
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    ends = np.cumsum(sizes)
+    own = np.repeat(np.arange(len(strings)), sizes)[: len(hashes)]
+    at = np.flatnonzero((hashes >> _ANCHOR_SHIFT).astype(np.int64) == anchor[own])
+    own = own[at]
+    at, own = at[at + gram <= ends[own]], own[at + gram <= ends[own]]
+    before = at - half >= ends[own] - sizes[own]
+    behind = at + gram + half <= ends[own]
+    keys, kinds = [], []
+    for side, (begin, fits) in enumerate(((at - half, before), (at + gram, behind))):
+        begin = begin[fits]
+        # Two runs that overlap cover the half.
+        key = hashes[begin] * _ODD[0] + (hashes[begin + half - gram] ^ hashes[at[fits]]) * _ODD[1]
+        keys.append((key & ~np.uint64(1)) | np.uint64(side))
+        kinds.append(own[fits])
+    key, kind = np.concatenate(keys), np.concatenate(kinds)
+    kept = np.zeros(len(strings), bool)
+    if len(key):
+        order = np.argsort(key)
+        key, kind = key[order], kind[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        held = owners[kind]
+        several = np.minimum.reduceat(held, starts) != np.maximum.reduceat(held, starts)
+        kept[kind[np.repeat(several, np.diff(np.r_[starts, len(key)]))]] = True
+    return kept
 
 
 def _marked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,25 +222,35 @@ def _sorted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def solve(part: pa.Table) -> pa.RecordBatch | None:
         contexts = part.column("context").to_pylist()
-        doc, row, start = (part.column(c).to_numpy() for c in ("doc", "row", "start"))
+        anchor, doc, row, start = (part.column(c).to_numpy() for c in ("anchor", "doc", "row", "start"))
         number: dict[bytes, int] = {}
         kind = np.array([number.setdefault(c, len(number)) for c in contexts], np.int64)
         least = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(least, kind, doc)
         strings = list(number)
-        hits = repeated_starts(strings, least, LENGTH)
-        ranges = [_runs(h, LENGTH) for h in hits]
-        out: list[list] = [[], [], []]
-        for k, d, r, s in zip(kind.tolist(), doc.tolist(), row.tolist(), start.tolist(), strict=True):
-            if d > least[k]:
-                found = ((0, len(strings[k])),)
-            else:
-                found = zip(*ranges[k], strict=True)
-            for a, b in found:
-                out[0].append(r)
-                out[1].append(s + int(a))
-                out[2].append(s + int(b))
-        return _batch(out, names) if out[0] else None
+        of = np.empty(len(number), np.int64)
+        of[kind] = anchor
+        chosen = np.flatnonzero(may_repeat(strings, of, least))
+        string, firsts, ends = np.zeros((3, 0), np.int64)
+        if len(chosen):
+            places = repeated_places([strings[k] for k in chosen.tolist()], least[chosen], LENGTH)
+            string, firsts, ends = _runs(*places, LENGTH)
+        runs = np.zeros(len(number) + 1, np.int64)
+        np.add.at(runs, chosen[string] + 1, 1)
+        begins = np.cumsum(runs)
+        # Later documents lose the whole context, the earliest one what others hold of it.
+        later = doc > least[kind]
+        own = np.flatnonzero(~later)
+        times = runs[kind[own] + 1]
+        each = np.repeat(own, times)
+        run = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(begins[kind[own]], times)
+        sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        out = (
+            np.r_[row[later], row[each]],
+            np.r_[start[later], start[each] + firsts[run]],
+            np.r_[start[later] + sizes[kind[later]], start[each] + ends[run]],
+        )
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names) if len(out[0]) else None
 
     for part in parts:
         if not part.num_rows:

@@ -290,10 +290,10 @@ def suffixes_descending(
         yield symbol, found
 
 
-def repeated_starts(
+def repeated_places(
     strings: list[bytes], owners: np.ndarray, length: int, memory: int = MEMORY
-) -> list[np.ndarray]:
-    """Per string: where a substring of ``length`` starts that a smaller owner's also holds."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """(string, start), ascending: substrings of ``length`` that a smaller owner's also holds."""
     total = sum(map(len, strings)) + len(strings)
     ends = np.cumsum([len(s) + 1 for s in strings])
     text = np.zeros(total, np.uint16)
@@ -314,6 +314,17 @@ def repeated_starts(
             group = np.cumsum(first) - 1
             least = np.minimum.reduceat(owner[places], np.flatnonzero(first))
             hit[places] = owner[places] > least[group]
+    places = np.flatnonzero(hit)
+    string = np.searchsorted(ends, places, "right")
     # A start too near the end of its string has run on into the next.
-    spans = zip(np.r_[0, ends[:-1]], ends - length, strict=True)
-    return [np.flatnonzero(hit[a : max(a, b)]) for a, b in spans]
+    within = places < ends[string] - length
+    places, string = places[within], string[within]
+    return string, places - np.r_[0, ends[:-1]][string]
+
+
+def repeated_starts(
+    strings: list[bytes], owners: np.ndarray, length: int, memory: int = MEMORY
+) -> list[np.ndarray]:
+    """Per string: where a substring of ``length`` starts that a smaller owner's also holds."""
+    string, starts = repeated_places(strings, owners, length, memory)
+    return np.split(starts, np.searchsorted(string, np.arange(1, len(strings))))
