@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txvigil.llm import jaccard, lines, quality, repeats, winnowing
+from txvigil.llm.common import beside, stored, stored_bytes
 from txvigil.llm.suffixes import repeated_starts
 
 
@@ -268,6 +269,38 @@ def test_suffix_order_spills(memory):
         assert [f.tolist() for f in found] == expected
 
 
+def test_strings_worth_sorting():
+    """All that share fifty bytes with another owner's are sorted, and not simply everything."""
+    dice, kept_of, all_of = random.Random(8), 0, 0
+    pool = ["".join(dice.choice("abcdefgh ") for _ in range(dice.randint(16, 70))) for _ in range(40)]
+    strings, found, owners = [], [], []
+    for owner in range(120):
+        raw = "".join(dice.choice(pool) for _ in range(6)).encode()
+        raw += (b"ab" * 60, b"a" * 90, b"")[owner % 3]
+        for anchor, first, last in zip(*repeats.anchors(raw), strict=True):
+            strings.append(raw[first : last + repeats.LENGTH])
+            found.append(anchor)
+            owners.append(owner)
+    kept = repeats.may_repeat(strings, np.array(found), np.array(owners))
+    holders = {}
+    for s, o in zip(strings, owners, strict=True):
+        for i in range(len(s) - repeats.LENGTH + 1):
+            holders.setdefault(s[i : i + repeats.LENGTH], set()).add(o)
+    for s, worth in zip(strings, kept, strict=True):
+        shared = any(len(holders[s[i : i + repeats.LENGTH]]) > 1 for i in range(len(s) - repeats.LENGTH + 1))
+        assert worth or not shared
+        kept_of, all_of = kept_of + worth, all_of + 1
+    assert 0 < kept_of < all_of
+
+
+def test_beside_bounds_rows_and_bytes(spark):
+    rows = stored(spark.range(1000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("v")))
+    plans = [beside(rows), beside(rows, most=999), beside(rows, size=1000)]
+    broadcast = ["broadcast" in r._jdf.queryExecution().analyzed().toString().lower() for r in plans]
+    assert broadcast == [True, False, False]
+    assert stored_bytes(rows.select("id")) <= stored_bytes(rows)
+
+
 def test_substrings_of_odd_rows(odd, none):
     rows = repeats.deduped(odd).collect()
     assert len(rows) == odd.count()

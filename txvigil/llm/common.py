@@ -131,10 +131,15 @@ def components(links: DataFrame, keep: DataFrame | None = None) -> DataFrame:
             return labels
 
 
-# A side of a join with at most so many rows of a few numbers is sent to every executor.
-BESIDE = 1_000_000
+# A side of a join with at most so many rows, in files of so many bytes, is sent to every executor.
+BESIDE, BESIDE_BYTES = 1_000_000, 32 << 20
 
 
-def beside(rows: DataFrame, most: int = BESIDE) -> DataFrame:
-    """Rows of a stored table, to be broadcast if they are few; shuffled like any if not."""
-    return F.broadcast(rows) if rows.count() <= most else rows
+def stored_bytes(rows: DataFrame) -> int:
+    """Bytes of the files that a stored table is read from, as Spark estimates plans by them."""
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def beside(rows: DataFrame, most: int = BESIDE, size: int = BESIDE_BYTES) -> DataFrame:
+    """Rows of a stored table, to be broadcast if they are few and short; shuffled like any if not."""
+    return F.broadcast(rows) if stored_bytes(rows) <= size and rows.count() <= most else rows
