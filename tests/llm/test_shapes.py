@@ -94,6 +94,36 @@ def test_all_pages_of_a_host_share_one_wrapper(spark, partitions):
     assert found == {i: f"Story {i}" for i, _, _ in rows}
 
 
+@pytest.mark.parametrize("salt", "ac")
+def test_parts_that_few_pages_of_a_host_have_are_in_its_wrapper(spark, salt):
+    def page(i):
+        more = f"<table><tr><td>Cell {i}</table>" if i % 200 < 100 else ""
+        rare = f"<section><table><tr><td>Legal</table><ul><li>Item {i}</ul>{more}</section>"
+        return f"<div><p>Story {salt} {i}</div>" + (rare if i % 100 == 0 else "")
+
+    pages = [(i, "http://a.org/", page(i)) for i in range(800)]
+    found = wrappers.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert not [r.page_id for r in found if "Legal" in r.text]
+    assert sum("Item" in r.text for r in found) == 8
+
+
+def test_wrappers_are_merged_in_rounds(spark):
+    def page(i):
+        return "".join(f"<{tag}>x</{tag}>" for n, tag in enumerate(("h1", "ul", "dl", "table", "pre")) if n != i % 7)
+
+    bodies = [page(i) + f"<section><{tag}>y</{tag}></section>" for i in range(7) for tag in ("p", "pre", "ol")]
+    packed = [wrappers.marshal.dumps(wrappers.shape(wrappers.parse(body)), 2) for body in bodies]
+    shapes = spark.createDataFrame([("a", p) for p in packed] + [("b", packed[0])] * 9, "host string, shape binary")
+    for dealt in (shapes.repartition(7), shapes.coalesce(1)):
+        found = {r.host: r.wrapper for r in wrappers.induced(dealt, 2).collect()}
+        assert sorted(found) == ["a", "b"]
+        for body in bodies:
+            tree = wrappers.parse(body)
+            whole = wrappers.matching(tree, wrappers.wrapper_of([tree]))
+            assert wrappers.matching(tree, wrappers.unpacked_slots(wrappers.marshal.loads(found["a"]))) == whole
+        assert found == {r.host: r.wrapper for r in wrappers.induced(shapes, 2).collect()}
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "http://a.com/x", None, 1), (2, None, "", 1), (3, "no url", "<p>a", 1), (3, "no url", "<p>a", 1),
             (None, "http://a.com/y", "<p>b</p>" * 3, 1), (5, "http://a.com/z", "<" * 5000, 1)]

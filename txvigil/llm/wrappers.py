@@ -7,10 +7,12 @@ nodes whose content varies are slots of content. Elements that are never part of
 (menus, forms, scripts, ...) are known by tag, role or class and left out whatever they hold. A class alone does not
 remove what is around an article, or most of what varies on the page.
 
-The nodes of a wrapper come from up to ``SAMPLE`` different pages of the host, chosen by
-content. All its pages are then placed on it wherever they are, and what they have there is
-added up over the cluster; parts that the wrapper does not know are told apart by their path
-below it. So a text depends on the pages of the host only, not on how they are dealt out.
+The nodes of a wrapper come from all pages of the host. Pages of one shape add the same nodes,
+so each different shape is merged once: up to about ``GROUP`` of them by a task, into wrappers
+that are merged with each other in turn. All pages are then placed on the wrapper wherever they
+are, and what they have there is added up over the cluster; parts that it has in no such place
+are told apart by their path below it. So a text depends on the pages of the host only, not on
+how they are dealt out.
 
 Elements more than ``DEPTH`` deep are no nodes: their blocks of text are, in page order, in the
 last one that is. Lists of more than ``LONG`` pairs of children are aligned in one pass.
@@ -21,7 +23,7 @@ from __future__ import annotations
 import marshal
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -32,7 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from txvigil.llm.common import beside, stored
 from txvigil.llm.urls import split_url
 
-SAMPLE = 128
+# So many shapes, or wrappers, are merged at once.
+GROUP = 128
 # So many hosts' wrappers are sent to every executor, and kept decoded by a task.
 HOSTS, KEPT = 10_000, 256
 # A node is template when at least so many different pages have it, nearly all alike. Inside
@@ -40,6 +43,8 @@ HOSTS, KEPT = 10_000, 256
 TEMPLATE_PAGES, TEMPLATE_SHARE = 4, 0.9
 ARTICLE_PAGES, ARTICLE_SHARE = 16, 0.95
 DEPTH = 200
+# Bytes of equal values are equal in this version of marshal, which has no references.
+_PLAIN = 2
 # The pass looks for the slot of a run among so many following ones.
 LONG, NEAR = 1 << 16, 64
 
@@ -241,7 +246,7 @@ def parse(html: str) -> Node:
     return root
 
 
-def matching(node: Node, slot: Slot) -> int:
+def matching(node: Node | Slot, slot: Slot) -> int:
     """Nodes that a simple tree matching of the page's node and the wrapper's pairs up."""
     if node.tag != slot.tag:
         return 0
@@ -252,8 +257,13 @@ def matching(node: Node, slot: Slot) -> int:
     return 1 + _table(runs, slots)[-1][-1]
 
 
-def _runs(node: Node) -> list[list[Node]]:
-    """Children, with neighbours of one tag taken together: the repeats of one slot."""
+def _runs(node: Node | Slot) -> list[list]:
+    """Children, with neighbours of one tag taken together: the repeats of one slot.
+
+    Those of a slot are slots already.
+    """
+    if isinstance(node, Slot):
+        return [[child] for child in node.children]
     runs: list[list[Node]] = []
     for child in node.children:
         if runs and runs[-1][0].tag == child.tag:
@@ -292,7 +302,7 @@ def _nearest(runs: list[list[Node]], slots: list[Slot]) -> list[int | None]:
     return found
 
 
-def _places(node: Node, slot: Slot) -> Iterator[tuple[int, list[Node], Slot | None]]:
+def _places(node: Node | Slot, slot: Slot) -> Iterator[tuple[int, list[Node], Slot | None]]:
     """Runs below the node with their slots, or the place where a new one would be; backwards."""
     runs, slots = _runs(node), slot.children
     i, j = len(runs), len(slots)
@@ -313,15 +323,15 @@ def _places(node: Node, slot: Slot) -> Iterator[tuple[int, list[Node], Slot | No
             i, j = i - 1, j - 1
 
 
-def merge(node: Node, slot: Slot) -> None:
-    """Aligns a page's node with the wrapper's and adds the parts below that are new there."""
+def merge(node: Node | Slot, slot: Slot) -> None:
+    """Aligns a node of a page, or of another wrapper, with the wrapper's and adds the parts below that are new there."""
     # From the last to the first, so places stay right.
     for at, run, target in list(_places(node, slot)):
         if target is None:
             target = Slot(run[0].tag)
             slot.children.insert(at, target)
         for child in run:
-            if child.text is None and child.children:
+            if child.children:
                 merge(child, target)
 
 
@@ -356,7 +366,7 @@ def settle(page: Node, wrapper: Slot, constants: dict[int, tuple[int, dict[int,
             slot.contents = Counter(contents)
 
 
-def wrapper_of(pages: list[Node]) -> Slot:
+def wrapper_of(pages: list[Node] | list[Slot]) -> Slot:
     wrapper = Slot("#page")
     for page in pages:
         merge(page, wrapper)
@@ -393,6 +403,20 @@ def unpacked_tree(packed: tuple) -> Node:
     return node
 
 
+def shape(node: Node) -> tuple:
+    """What a wrapper takes from a page: tags, and in a run of one tag what differs."""
+    below: list[tuple] = []
+    for run in _runs(node):
+        below.extend(dict.fromkeys(shape(child) for child in run))
+    return node.tag, tuple(below)
+
+
+def unpacked_shape(packed: tuple) -> Node:
+    node = Node(packed[0])
+    node.children = [unpacked_shape(c) for c in packed[1]]
+    return node
+
+
 def packed_slots(slot: Slot) -> tuple:
     return slot.tag, [packed_slots(c) for c in slot.children]
 
@@ -473,6 +497,39 @@ def _holds(size: int, article: bool, most: float) -> bool:
     return size >= most if article else size > most
 
 
+def induced(shapes: DataFrame, group: int = GROUP) -> DataFrame:
+    """(host, wrapper) of hosts from the packed shapes of all their pages.
+
+    Which shapes are merged with each other depends on their hashes and on how many a host has.
+    """
+
+    def merging(unpacked: Callable[[tuple], Node | Slot]) -> Callable:
+        def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in parts:
+                found = []
+                for several in part.column(2):
+                    found.append(packed_slots(wrapper_of([unpacked(marshal.loads(one.as_py())) for one in several])))
+                packed = pa.array([marshal.dumps(wrapper, _PLAIN) for wrapper in found], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), packed], names=["host", "part", "wrapper"]
+                )
+
+        return work
+
+    shapes = stored(shapes.distinct())
+    sizes = shapes.groupBy("host").agg(F.ceil(F.count("*") / group).alias("parts"))
+    part = F.pmod(F.xxhash64("shape"), F.col("parts")).alias("part")
+    rows = shapes.join(beside(stored(sizes), HOSTS), "host").select("host", part, F.col("shape").alias("wrapper"))
+    unpacked: Callable[[tuple], Node | Slot] = unpacked_shape
+    while True:
+        several = rows.groupBy("host", "part").agg(F.sort_array(F.collect_list("wrapper")))
+        rows = stored(several.mapInArrow(merging(unpacked), "host string, part long, wrapper binary"))
+        if rows.filter("part > 0").isEmpty():
+            return rows.drop("part")
+        rows = rows.withColumn("part", F.floor(F.col("part") / group))
+        unpacked = unpacked_slots
+
+
 def extracted(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html"
 ) -> DataFrame:
@@ -497,18 +554,9 @@ def extracted(
                     part.column(0),
                     pa.array([tree.key() for tree in trees], pa.int64()),
                     pa.array([marshal.dumps(packed_tree(tree)) for tree in trees], pa.binary()),
+                    pa.array([marshal.dumps(shape(tree), _PLAIN) for tree in trees], pa.binary()),
                 ],
-                names=["host", "content", "tree"],
-            )
-
-    def merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            found = []
-            for sample in part.column(1):
-                trees = [unpacked_tree(marshal.loads(row["tree"].as_py())) for row in sample]
-                found.append(marshal.dumps(packed_slots(wrapper_of(trees))))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(found, pa.binary())], names=["host", "wrapper"]
+                names=["host", "content", "tree", "shape"],
             )
 
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -546,13 +594,11 @@ def extracted(
             )
 
     # Pages of a host with the same content count once.
-    trees = rows.select("host", "html").mapInArrow(parsed, "host string, content long, tree binary")
-    trees = stored(trees.groupBy("host", "content").agg(F.min("tree").alias("tree")), free=True)
-    sample = trees.groupBy("host", F.pmod("content", F.lit(SAMPLE)).alias("part")).agg(
-        F.min_by("tree", "content").alias("tree")
-    )
-    sample = sample.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("part", "tree"))))
-    wrappers = stored(sample.mapInArrow(merged, "host string, wrapper binary"))
+    kinds = "host string, content long, tree binary, shape binary"
+    trees = rows.select("host", "html").mapInArrow(parsed, kinds)
+    page = F.min(F.struct("tree", "shape")).alias("page")
+    trees = stored(trees.groupBy("host", "content").agg(page).select("host", "page.*"), free=True)
+    wrappers = induced(trees.select("host", "shape"))
 
     counts = trees.join(beside(wrappers, HOSTS), "host").select("host", "tree", "wrapper")
     counts = counts.mapInArrow(counted, "host string, slot long, content long, n long")
