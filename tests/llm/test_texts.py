@@ -212,6 +212,15 @@ def test_jaccard_links_longer_variants_to_a_shared_base(spark, size):
     assert {r.doc_id: r.component_id for r in found.collect()} == groups(sets, 85)
 
 
+def test_documents_are_rows_of_the_jaccard_index(odd):
+    """Texts are cut into shingles once for the index and for what is told of a document."""
+    rows = jaccard.signed(odd, 4, 85).collect()
+    documents = Counter((r.doc_id, r.n) for r in rows if r.flags == jaccard._DOCUMENT)
+    expected = odd.select("doc_id", "text").collect()
+    assert documents == Counter((r.doc_id, len(shingle_set(r.text, 4))) for r in expected)
+    assert all(0 <= r.key < 1 << 48 for r in rows)
+
+
 def test_jaccard_of_odd_rows(odd, none):
     rows = jaccard.grouped(odd).collect()
     assert len(rows) == odd.count()

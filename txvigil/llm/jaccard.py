@@ -43,6 +43,10 @@ _ODD = np.array(
     [0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
 )
 _DELETED, _OWN, _WIDE = 1, 2, 4
+# Flags of a row that is a document, not a segment of one.
+_DOCUMENT = -(1 << 31)
+# Bits of a key that are left out: what agrees by chance is verified like anything else.
+_SHORTER = np.uint64(16)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -146,31 +150,37 @@ def signatures(shingles: np.ndarray, threshold: int = THRESHOLD) -> Iterator[tup
         yield np.concatenate(keys), np.concatenate(flags), spare
 
 
-_SIGNED = "key long, node long, n int, flags int"
+_SIGNED = "key long, node long, n int, flags int, doc_id long"
 
 
 def signed(docs: DataFrame, words: int, threshold: int) -> DataFrame:
     """The index: one row per segment (or deletion) of every different set of shingles.
 
-    Copies within a task are indexed once. ``flags`` also hold what the set can spare.
+    Copies within a task are indexed once. ``flags`` also hold what the set can spare. Every
+    document (doc_id, text) is a row too, under a key of no meaning, so that it is read once.
     """
 
     kinds = {"key": np.int64, "node": np.int64, "n": np.int32, "flags": np.int32}
 
-    def batch(columns: list[list]) -> pa.RecordBatch:
+    def batch(columns: list[list], doc_ids: pa.Array | None = None) -> pa.RecordBatch:
         joined = [np.concatenate(c) for c in zip(*columns, strict=True)]
-        joined[0] = joined[0].view(np.int64)
+        joined[0] = joined[0] >> _SHORTER
         arrays = [pa.array(a.astype(k)) for a, k in zip(joined, kinds.values(), strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
+        arrays.append(pa.nulls(len(joined[0]), pa.int64()) if doc_ids is None else doc_ids)
+        return pa.RecordBatch.from_arrays(arrays, names=[*kinds, "doc_id"])
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingles(words), set()
+        before = 0
         for part in parts:
             rows: list[list] = []
+            nodes, sizes = [], []
             size = 0
-            for text in part.column(0):
+            for text in part.column(1):
                 found = shingles.of(text.as_py())
                 node = node_id(found)
+                nodes.append(node)
+                sizes.append(len(found))
                 if not len(found) or node in seen:
                     continue
                 if len(seen) >= 1_000_000:
@@ -186,8 +196,14 @@ def signed(docs: DataFrame, words: int, threshold: int) -> DataFrame:
                     rows, size = [], 0
             if rows:
                 yield batch(rows)
+            if nodes:
+                own = np.array(nodes, np.int64)
+                places = np.arange(before, before + len(own)).astype(np.uint64)
+                keys = _mix(own.view(np.uint64) + places * _ODD[1])
+                before += len(own)
+                yield batch([[keys, own, np.array(sizes), np.full(len(own), _DOCUMENT)]], part.column(0))
 
-    return docs.mapInArrow(work, _SIGNED)
+    return docs.select("doc_id", "text").mapInArrow(work, _SIGNED)
 
 
 def node_id(shingles: np.ndarray) -> int:
@@ -209,7 +225,7 @@ def _pairs(rows: np.ndarray, threshold: int) -> np.ndarray:
 def buckets(index: DataFrame, threshold: int, bucket: int = BUCKET) -> DataFrame:
     """(a, b) of every pair in a small bucket, and the rows of large ones (key not null).
 
-    Keys arrive sorted; no more than a small bucket is held back at a time.
+    A document (n not null, but no key) is passed on, its id as a and its node as b. Keys arrive sorted; no more than a small bucket is held back at a time.
     """
     kind = np.dtype([("key", "i8"), ("node", "i8"), ("n", "i4"), ("flags", "i4")])
 
@@ -256,7 +272,15 @@ def buckets(index: DataFrame, threshold: int, bucket: int = BUCKET) -> DataFrame
             rows = np.empty(part.num_rows, kind)
             for i, name in enumerate(kind.names):
                 rows[name] = part.column(i).to_numpy()
-            rows = np.concatenate([held, rows])
+            document = rows["flags"] == _DOCUMENT
+            if document.any():
+                passed = part.take(pa.array(np.flatnonzero(document)))
+                n = passed.num_rows
+                nothing = pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [passed.column(4), passed.column(1), nothing[0], passed.column(2), nothing[1]], names=names
+                )
+            rows = np.concatenate([held, rows[~document]])
             if len(rows):
                 yield from split(rows, False)
         if len(held):
@@ -354,14 +378,19 @@ def near(a: str, b: str, threshold: int):
 
 
 def links(
-    docs: DataFrame, nodes: DataFrame, words: int, threshold: int, bucket: int = BUCKET
-) -> DataFrame:
+    docs: DataFrame, words: int, threshold: int, bucket: int = BUCKET
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links (a, b) between different sets that connect all that are similar.
 
-    Within a group not every link is listed, but none that joins two groups is missing.
+    Within a group not every link is listed, but none that joins two groups is missing. Also
+    every document as (doc_id, n_shingles, node) and every node as (node, doc_id).
     """
-    found = stored(buckets(signed(docs.select("text"), words, threshold), threshold, bucket), free=True)
-    pairs = stored(found.filter("key IS NULL").select("a", "b").distinct())
+    found = stored(buckets(signed(docs, words, threshold), threshold, bucket), free=True)
+    sized = found.filter("key IS NULL AND n IS NOT NULL").select(
+        F.col("a").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("b")).alias("node")
+    )
+    nodes = stored(sized.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    pairs = stored(found.filter("key IS NULL AND n IS NULL").select("a", "b").distinct())
     large = found.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "n", "flags")
     large = large.distinct()
 
@@ -416,7 +445,7 @@ def links(
     apart = "a_node < b_node AND a_part <> b_part AND (a_hard OR b_hard)"
     rest = between(a.join(b, "key").filter(apart))
     rest = stored(rest.join(pairs, ["a", "b"], "left_anti"))
-    return stored(linked.union(verified(rest, nodes, docs, words, threshold)))
+    return stored(linked.union(verified(rest, nodes, docs, words, threshold))), sized, nodes
 
 
 def grouped(
@@ -434,23 +463,8 @@ def grouped(
     none.
     """
 
-    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
-        for part in parts:
-            sets = [shingles.of(t.as_py()) for t in part.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([node_id(s) if len(s) else None for s in sets], pa.int64()),
-                ],
-                names=["doc_id", "n_shingles", "node"],
-            )
-
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sized = stored(docs.mapInArrow(work, "doc_id long, n_shingles long, node long"))
-    nodes = stored(sized.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    linked = links(docs, nodes, words, threshold)
+    linked, sized, nodes = links(docs, words, threshold)
     parts = components(linked).toDF("node", "part")
     smallest = (
         nodes.join(parts, "node", "left")
