@@ -2,6 +2,8 @@
 
 import random
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -101,6 +103,21 @@ def test_lines_beside_columns_of_any_name(spark):
     assert found == {(1, "a b c d e\nx", 7, "k"), (2, "y", 8, "l")}
 
 
+def test_line_dedup_keeps_no_table_of_lines(spark, monkeypatch):
+    """Contents and signed lines are removed once nothing reads them; what comes after needs the disk."""
+    made, original = [], lines.stored
+
+    def stored_(rows, free=False):
+        made.append(original(rows, free))
+        return made[-1]
+
+    monkeypatch.setattr(lines, "stored", stored_)
+    found = lines.duplicates(texts(spark, "a b c d e f\nx y", "a b c d e f\nx z", "a b c d e g\nf b c d e a"))
+    assert {r.doc for r in found.collect()} == {1, 2}
+    left = [t for t in made if any(Path(urlparse(file).path).exists() for file in t.inputFiles())]
+    assert not [t.columns for t in left if {"content", "bits", "a_line", "_places"} & set(t.columns)]
+
+
 def test_levels_of_words(spark):
     docs = spark.createDataFrame([("a b a",), ("a c\na a a a",), (None,), ("",)], "text string")
     levels = lines.word_levels(docs, "text")

@@ -145,7 +145,10 @@ def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, threshol
     pairs = pairs.select("b_doc", "b_line", *[w.alias(n) for w, n in zip(sides, "ab", strict=True)])
     both = F.size(F.array_intersect("a", "b"))
     similar_ = 100 * both >= threshold * (F.size("a") + F.size("b") - both)
-    return stored(pairs.filter(similar_).select("b_doc", "b_line").distinct().toDF(*_PLACE))
+    similar_lines = stored(pairs.filter(similar_).select("b_doc", "b_line").distinct().toDF(*_PLACE))
+    discard(contents)
+    discard(places)
+    return similar_lines
 
 
 def duplicates(
@@ -197,7 +200,8 @@ def duplicates(
     more = candidates(pairs.filter(earlier), threshold)
     more = stored(more.join(first, first.columns, "left_anti"), free=True)
     gone = stored(gone.union(verified(more, docs, doc_id, text, threshold)).distinct())
-    discard(shared)
+    for done in (shared, first, more):
+        discard(done)
 
     repeats = once.select("h", "g", *_PLACE, "times").join(
         beside(gone.withColumn("gone", F.lit(True))), [*_PLACE], "left"
@@ -208,6 +212,7 @@ def duplicates(
             F.coalesce("gone", F.lit(False)).alias("gone"),
         )
     )
+    discard(once)
     found = worded.select(*_PLACE, *equal).join(beside(repeats), ["h", "g"])
     found = found.filter("gone OR doc <> _doc OR line <> _line")
     return stored(found.groupBy("doc").agg(F.collect_set("line").alias("lines")))
