@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from txvigil.operators import pairs as joined
 from txvigil.operators.pairs import burst_pairs, contributors
 
 SPAN = timedelta(minutes=10)
@@ -54,3 +55,11 @@ def test_range_joins_have_a_bucket_in_their_key(tx):
         ranges = [line for line in plan.splitlines() if "Join" in line and ">=" in line]
         assert ranges and all("_bucket" in line for line in ranges)
         assert "Cartesian" not in plan and "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_rows_are_in_two_buckets(spark):
+    """A day-sized time is moved about 1.25 times, and every row is found in its own bucket."""
+    days = spark.range(4000).selectExpr("timestamp_ntz '2025-01-01' + make_dt_interval(id) AS at")
+    moved = joined._bucketed(days, "at", timedelta(days=2), back=True)
+    assert moved.select("at").distinct().count() == 4000
+    assert 4000 <= moved.count() <= 1.3 * 4000

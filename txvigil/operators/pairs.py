@@ -1,8 +1,8 @@
 """What stands behind a flag: the bursts that cover a row, the amounts that a sum is made of.
 
 Both are joins on account and a range of time, from the flagged rows only. Time is cut into
-buckets as long as the span, so that a row meets just the rows of its account in its own and one
-neighbouring bucket: no account is compared with itself as a whole, and a large account is as
+buckets of a few spans, so that a row meets just the rows of its account in its own and, near its
+start, in the bucket before: no account is compared with itself as a whole, and a large account is as
 many keys as it has buckets. The result is as large as the pairs that exist, for flagged rows.
 """
 
@@ -18,18 +18,21 @@ from txvigil.operators.rolling import Burst, Total, placed, sum_by_ref, trailing
 from txvigil.schema import ACCOUNT, AMOUNT, AT, REF
 
 _BUCKET, _US = "_bucket", "_us"
+# A bucket is so many spans long: one in so many rows is in two.
+_SPANS = 4
 RIGHT = "transaction_date_right"
 
 
-def _bucketed(rows: DataFrame, at: str, span: timedelta, *others: int) -> DataFrame:
-    """Rows with their time in microseconds, once in their bucket and in each other one beside it."""
-    length = span // timedelta(microseconds=1)
+def _bucketed(rows: DataFrame, at: str, span: timedelta, back: bool = False) -> DataFrame:
+    """Rows with their time in microseconds, in their bucket and, ``back``, in the one before if the span reaches it."""
+    reach = span // timedelta(microseconds=1)
+    length = _SPANS * reach
     timed = rows.withColumn(_US, epoch_us(F.col(at)))
     bucket = F.col(_US) - F.pmod(_US, F.lit(length))
-    if not others:
+    if not back:
         return timed.withColumn(_BUCKET, bucket)
-    places = F.array(bucket, *[bucket + other * length for other in others])
-    return timed.select("*", F.explode(places).alias(_BUCKET))
+    places = F.array(bucket, F.when(F.col(_US) - reach < bucket, bucket - length))
+    return timed.select("*", F.explode(places).alias(_BUCKET)).filter(F.col(_BUCKET).isNotNull())
 
 
 def burst_pairs(rows: DataFrame, span: timedelta, at_least: int, **options) -> DataFrame:
@@ -47,8 +50,8 @@ def burst_pairs(rows: DataFrame, span: timedelta, at_least: int, **options) -> D
     ).filter(F.col(RIGHT).isNotNull())
     times = per_key(counted, [ACCOUNT, AT], F.max("rolling_count").alias("rolling_count"))
     ends = times.filter(F.col("rolling_count") >= at_least).select(ACCOUNT, F.col(AT).alias(RIGHT))
-    # An end reaches back into its own bucket and the one before.
-    ends = _bucketed(ends, RIGHT, span, -1).withColumnRenamed(_US, "_end")
+    # An end reaches back into its own bucket and perhaps the one before.
+    ends = _bucketed(ends, RIGHT, span, back=True).withColumnRenamed(_US, "_end")
     covered = _bucketed(times, AT, span).join(ends, [ACCOUNT, _BUCKET])
     length = span // timedelta(microseconds=1)
     covered = covered.filter(F.col("_end").between(F.col(_US), F.col(_US) + length))
@@ -71,8 +74,8 @@ def contributors(
     narrow = placed(rows).select(REF, ACCOUNT, AT, AMOUNT)
     chosen = placed(rows).filter(F.lit(True) if counted is None else counted)
     flagged = chosen.select(REF, ACCOUNT, AT, AMOUNT).join(sums, REF)
-    # A row looks back into its own bucket and the one before.
-    flagged = _bucketed(flagged, AT, span, -1)
+    # A row looks back into its own bucket and perhaps the one before.
+    flagged = _bucketed(flagged, AT, span, back=True)
     added = _bucketed(narrow, AT, span).withColumnRenamed(_US, "_then")
     added = added.withColumnsRenamed({c: f"{c}_r" for c in (REF, AT, AMOUNT)})
     length = span // timedelta(microseconds=1)
