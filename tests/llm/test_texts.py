@@ -135,6 +135,20 @@ def test_crowd_around_a_line_that_is_not_the_first(spark):
     assert {(r.doc, i) for r in found.collect() for i in r.lines} == removed_lines(docs)
 
 
+def test_table_of_word_counts_is_in_no_plan(spark, monkeypatch):
+    """Every description of a plan that holds it repeats its bytes on the driver."""
+    sizes, original = [], lines.stored
+
+    def stored_(rows, free=False):
+        plan = rows._jdf.queryExecution()
+        sizes.append(len(plan.optimizedPlan().toString()) + len(plan.executedPlan().toString()))
+        return original(rows, free)
+
+    monkeypatch.setattr(lines, "stored", stored_)
+    lines.duplicates(texts(spark, "a b c d e f\nx y", "a b c d e g\nx y")).collect()
+    assert max(sizes) < 100_000
+
+
 # Jaccard join
 
 

@@ -22,7 +22,7 @@ THRESHOLD = 80
 # The table of word counts has 2 ** SLOT_BITS slots of a byte, in chunks of 2 ** CHUNK_BITS. All
 # words are counted, by hash: a rare word may look more frequent than it is, which costs
 # candidates, never results.
-SLOT_BITS, CHUNK_BITS = 20, 12
+SLOT_BITS, CHUNK_BITS = 22, 12
 _NULL = -(1 << 63)
 _SPACE = r"[\x20\x09-\x0D]+"
 _PLACE = ("doc", "line")
@@ -43,27 +43,37 @@ def _slot(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 64 - SLOT_BITS).cast("int")
 
 
-def word_levels(docs: DataFrame, text: str) -> Column:
-    """Logarithm of the count of each slot of words: a constant of a byte each, of fixed size.
+def _filled(entries: Column, at: str, text: str, width: int, length: int) -> Column:
+    """One text of entries of ``width`` digits, those that are missing "0"."""
+
+    def piece(entry: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(entries, i - 1)[at]).otherwise(F.lit(-1))
+        return F.concat(F.repeat(F.lit("0"), (entry[at] - before - 1) * width), entry[text])
+
+    return F.rpad(F.array_join(F.transform(entries, piece), ""), length, "0")
+
+
+def level_table(docs: DataFrame, text: str) -> DataFrame:
+    """Logarithm of the count of each slot of words: one row, a byte each, of fixed size.
 
     Every chunk of the table is put together where it is counted, as a text of digits from "0" on.
     """
     word = F.explode(F.split(F.col(text), _SPACE)).alias("word")
     counts = docs.select(word).groupBy(_slot(F.xxhash64("word")).alias("slot")).count()
-    level = F.length(F.bin("count")).cast("int")
+    digit = F.char(F.length(F.bin("count")) + 48)
     place = F.col("slot").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
-    used = F.sort_array(F.collect_list(F.struct(place.alias("at"), level.alias("level"))))
+    used = F.sort_array(F.collect_list(F.struct(place.alias("at"), digit.alias("text"))))
     chunks = counts.groupBy(F.shiftright("slot", CHUNK_BITS).alias("chunk")).agg(used.alias("used"))
+    packed = _filled(F.col("used"), "at", "text", 1, 1 << CHUNK_BITS)
+    chunks = chunks.select("chunk", packed.alias("packed"))
+    parts = chunks.agg(F.sort_array(F.collect_list(F.struct("chunk", "packed"))).alias("parts"))
+    levels = _filled(F.col("parts"), "chunk", "packed", 1 << CHUNK_BITS, 1 << SLOT_BITS)
+    return parts.select(levels.cast("binary").alias("levels"))
 
-    def digits(entry: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.get("used", i - 1)["at"]).otherwise(F.lit(-1))
-        return F.concat(F.repeat(F.lit("0"), entry["at"] - before - 1), F.char(entry["level"] + 48))
 
-    packed = F.rpad(F.array_join(F.transform("used", digits), ""), 1 << CHUNK_BITS, "0")
-    found = {row.chunk: row.packed for row in chunks.select("chunk", packed.alias("packed")).collect()}
-    none = "0" * (1 << CHUNK_BITS)
-    table = "".join(found.get(i, none) for i in range(1 << (SLOT_BITS - CHUNK_BITS)))
-    return F.lit(bytearray(table.encode()))
+def word_levels(docs: DataFrame, text: str) -> Column:
+    """The table as a constant, for small uses: plans that hold it are described with all its bytes."""
+    return F.lit(bytearray(level_table(docs, text).first().levels))
 
 
 def by_rarity(content: Column, levels: Column) -> Column:
@@ -74,7 +84,9 @@ def by_rarity(content: Column, levels: Column) -> Column:
 
     def number(hashed: Column) -> Column:
         level = F.ascii(F.substring(levels, _slot(hashed) + 1, 1).cast("string")) - 48
-        return F.shiftleft(level.cast("long"), 57).bitwiseOR(hashed.bitwiseAND(F.lit((1 << 57) - 1)))
+        # Never null, so that numbers are sorted as such.
+        level = F.coalesce(level.cast("long"), F.lit(0).cast("long"))
+        return F.shiftleft(level, 57).bitwiseOR(hashed.bitwiseAND(F.lit((1 << 57) - 1)))
 
     hashes = F.transform(words(content), lambda word: F.xxhash64(word))
     return F.sort_array(F.array_distinct(F.transform(hashes, number)))
@@ -89,12 +101,15 @@ def prefix_length(n: Column, threshold: int) -> Column:
     return F.floor(n * (100 - threshold) / 100).cast("int") + 1
 
 
-def signed(lines: DataFrame, levels: Column, threshold: int) -> DataFrame:
+def signed(lines: DataFrame, levels: DataFrame, threshold: int) -> DataFrame:
     """Adds the size ``n``, the ``prefix`` words and ``bits`` (parity of the words' hashes).
 
+    The table of word counts is read as a subquery: it is in no plan, nor in what describes one.
+
     Lines of so few words that only equal sets are similar have their whole set as prefix.
     """
-    lines = lines.withColumn("_words", by_rarity(F.col("content"), levels))
+    lines = lines.withColumn("_levels", levels.scalar())
+    lines = lines.withColumn("_words", by_rarity(F.col("content"), F.col("_levels"))).drop("_levels")
     n = F.size("_words")
     whole = F.array(-F.abs(F.xxhash64("_words").bitwiseAND(F.lit((1 << 62) - 1))) - 1)
     front = F.slice("_words", 1, prefix_length(n, threshold))
@@ -159,7 +174,7 @@ def duplicates(
     Lines without a word stay. Rows that repeat a document id are one place: what goes from
     one goes from all. Null texts have no lines; an empty table loses nothing.
     """
-    levels = word_levels(docs, text)
+    levels = stored(level_table(docs, text), free=True)
     lines = split_lines(docs, doc_id, text)
     worded = lines.filter(F.btrim("content", F.lit(" \t\n\x0b\f\r")) != "")
     equal = [F.xxhash64("content").alias("h"), F.xxhash64(F.lit(1), "content").alias("g")]
@@ -170,6 +185,7 @@ def duplicates(
         F.first(F.struct("n", "bits", "prefix")).alias("signed"),
     )
     once = stored(once.select("h", "g", "place.*", "times", "signed.*"), free=True)
+    discard(levels)
     own = (*_PLACE, "at", "n", "bits")
     rows = once.select(F.posexplode("prefix").alias("at", "word"), *_PLACE, "n", "bits")
     rows = rows.filter(repeated(F.col("word")))
