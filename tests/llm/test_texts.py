@@ -135,6 +135,26 @@ def test_crowd_around_a_line_that_is_not_the_first(spark):
     assert {(r.doc, i) for r in found.collect() for i in r.lines} == removed_lines(docs)
 
 
+def test_light_words_make_few_rows_and_heavy_ones_are_still_compared(spark):
+    """Sets of sizes far apart, with prefix words of few and of very many occurrences."""
+    docs, dice = [], random.Random(5)
+    frequent = [f"f{i}" for i in range(12)]
+    for doc in range(150):
+        own = [f"r{dice.randrange(60)}" for _ in range(dice.choice([0, 2, 9]))]
+        docs.append((doc, " ".join([*frequent[: dice.choice([4, 5, 6, 9, 12])], *own])))
+    found = lines.duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {(r.doc, i) for r in found.collect() for i in r.lines} == removed_lines(docs)
+
+
+def test_pairs_by_light_words(spark):
+    """One row a pair, the earlier line first, also where it is the larger set."""
+    bits = 0
+    rows = [(3 << 57, 1, 0, 0, 9, bits), (3 << 57, 2, 0, 0, 8, bits), (3 << 57, 3, 0, 1, 9, bits), (3 << 57, 4, 0, 0, 5, bits)]
+    rows = spark.createDataFrame(rows, "word long, doc long, line int, at int, n int, bits long")
+    found = {tuple(r) for r in lines.light_pairs(rows, 80).collect()}
+    assert found == {(1, 0, 2, 0), (1, 0, 3, 0), (2, 0, 3, 0)}
+
+
 def test_table_of_word_counts_is_in_no_plan(spark, monkeypatch):
     """Every description of a plan that holds it repeats its bytes on the driver."""
     sizes, original = [], lines.stored

@@ -8,8 +8,10 @@ first few of both (prefix filter), so near to the front that enough words can fo
 verified on the words themselves.
 
 Equal lines are put together before anything is joined. Words that occur once in all texts
-make no rows. Lines that share a prefix word are first compared with the earliest of them;
-only lines that this does not remove are then compared with the others.
+make no rows. Lines that share a light word, one of few occurrences, are compared in one join,
+in which the smaller set needs the word in its still shorter index prefix. For other prefix words
+the join is with the earliest line that has them. A line is first verified against the earliest
+of its candidates; only lines that this does not remove are then compared with the others.
 """
 
 from __future__ import annotations
@@ -23,13 +25,17 @@ THRESHOLD = 80
 # words are counted, by hash: a rare word may look more frequent than it is, which costs
 # candidates, never results.
 SLOT_BITS, CHUNK_BITS = 22, 12
+# Words of at most so high a level occur less than 2 ** LIGHT times, in as few lines.
+LIGHT = 10
 _NULL = -(1 << 63)
-_SPACE = r"[\x20\x09-\x0D]+"
+_SPACE = r"[\x09-\x0D]"
 _PLACE = ("doc", "line")
 
 
 def words(content: Column) -> Column:
-    return F.array_remove(F.split(content, _SPACE), "")
+    # Splitting at one character needs no regular expression.
+    spaced = F.when(content.rlike(_SPACE), F.regexp_replace(content, _SPACE, " ")).otherwise(content)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def split_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -58,7 +64,7 @@ def level_table(docs: DataFrame, text: str) -> DataFrame:
 
     Every chunk of the table is put together where it is counted, as a text of digits from "0" on.
     """
-    word = F.explode(F.split(F.col(text), _SPACE)).alias("word")
+    word = F.explode(words(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("word")
     counts = docs.select(word).groupBy(_slot(F.xxhash64("word")).alias("slot")).count()
     digit = F.char(F.length(F.bin("count")) + 48)
     place = F.col("slot").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
@@ -97,6 +103,10 @@ def repeated(word: Column) -> Column:
     return (word < 0) | (F.shiftright(word, 57) > 1)
 
 
+def light(word: Column) -> Column:
+    return (word >= 0) & (F.shiftright(word, 57) <= LIGHT)
+
+
 def prefix_length(n: Column, threshold: int) -> Column:
     return F.floor(n * (100 - threshold) / 100).cast("int") + 1
 
@@ -138,6 +148,24 @@ def candidates(rows: DataFrame, threshold: int) -> DataFrame:
     return rows.filter(alike).select("a_doc", "a_line", "b_doc", "b_line").distinct()
 
 
+def light_pairs(rows: DataFrame, threshold: int) -> DataFrame:
+    """(a_doc, a_line, b_doc, b_line), a earlier, of lines that share a light word and may be similar.
+
+    The first word a similar pair shares is in the index prefix of the smaller set. A light word
+    has few rows, so its pairs are few for each row.
+    """
+    index = F.floor(F.col("n") * (100 - threshold) / (100 + threshold))
+    smaller, larger = [
+        side.withColumnsRenamed({c: f"{name}_{c}" for c in rows.columns if c != "word"})
+        for name, side in (("a", rows.filter(F.col("at") <= index)), ("b", rows))
+    ]
+    ordered = F.struct("a_n", "a_doc", "a_line") < F.struct("b_n", "b_doc", "b_line")
+    a, b = [F.struct(*[F.col(f"{side}_{c}").alias(c) for c in _PLACE]) for side in "ab"]
+    pairs = candidates(smaller.join(larger, "word").filter(ordered), threshold)
+    pairs = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    return pairs.select([F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "ab" for c in _PLACE])
+
+
 def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, threshold: int) -> DataFrame:
     """Later lines (doc, line) of those pairs whose words really are similar."""
     places = pairs.select("a_doc", "a_line").union(pairs.select("b_doc", "b_line"))
@@ -189,6 +217,8 @@ def duplicates(
     own = (*_PLACE, "at", "n", "bits")
     rows = once.select(F.posexplode("prefix").alias("at", "word"), *_PLACE, "n", "bits")
     rows = rows.filter(repeated(F.col("word")))
+    near = stored(light_pairs(rows.filter(light(F.col("word"))), threshold), free=True)
+    rows = rows.filter(~light(F.col("word")))
     # Words of one line make no pairs; lines of the others also see the earliest.
     hubs = rows.groupBy("word").agg(F.min(F.struct(*own)).alias("hub"), F.count("*").alias("rows"))
     hubs = hubs.filter("rows > 1").select(
@@ -198,13 +228,14 @@ def duplicates(
     earlier = F.struct("a_doc", "a_line") < F.struct("b_doc", "b_line")
     shared = stored(rows.join(hubs, "word").filter(F.struct("a_doc", "a_line") < F.struct(*_PLACE)), free=True)
     discard(hubs)
-    full, once = once, stored(once.drop("prefix"))
-    discard(full)
     first = shared.withColumnsRenamed({c: f"b_{c}" for c in own})
-    first = stored(candidates(first, threshold), free=True)
+    earliest = near.groupBy("b_doc", "b_line").agg(F.min(F.struct("a_doc", "a_line")).alias("a"))
+    earliest = earliest.select("a.*", "b_doc", "b_line")
+    first = stored(candidates(first, threshold).union(earliest), free=True)
     gone = verified(first, docs, doc_id, text, threshold)
 
-    # What is compared now has not been with the earliest line: words of three lines or more.
+    # What is compared now has not been with an earliest line: heavy words of three lines or more,
+    # and further candidates of light words.
     # Lines that are gone need no further match, so they are no later ones.
     left = shared.filter("rows > 2").select("word", *own)
     after = left.join(beside(gone), [*_PLACE], "left_anti")
@@ -213,10 +244,11 @@ def duplicates(
         for side, rows in (("a", left), ("b", after))
     ]
     pairs = sides[0].join(sides[1], "word")
-    more = candidates(pairs.filter(earlier), threshold)
+    near_left = near.join(beside(gone.toDF("b_doc", "b_line")), ["b_doc", "b_line"], "left_anti")
+    more = candidates(pairs.filter(earlier), threshold).union(near_left.select(near.columns))
     more = stored(more.join(first, first.columns, "left_anti"), free=True)
     gone = stored(gone.union(verified(more, docs, doc_id, text, threshold)).distinct())
-    for done in (shared, first, more):
+    for done in (shared, near, first, more):
         discard(done)
 
     repeats = once.select("h", "g", *_PLACE, "times").join(
